@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from talkweave.llm import document_queries, language_queries, meeting_queries, name_queries
+from talkweave.llm import corpus_queries, document_queries, language_queries, meeting_queries, name_queries
 
-_MODULES = [language_queries, name_queries, meeting_queries, document_queries]
+_MODULES = [language_queries, name_queries, meeting_queries, corpus_queries, document_queries]
 
 QUERIES: dict = {}
 SQL: dict = {}
