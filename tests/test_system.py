@@ -156,7 +156,10 @@ def test_stream_gives_the_same_events_as_the_batch(spark, tmp_path):
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(S.FRAMES).parquet(str(tmp_path / "in"))
     q = S.visual_events_stream(stream).writeStream.format("memory").queryName("seen_events").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
-    q.processAllAvailable()
+    for _ in range(60):  # the query's timeouts keep it alive, so it is stopped once it has the events
+        if q.recentProgress and spark.table("seen_events").count() >= len(done + more):
+            break
+        q.awaitTermination(1)
     q.stop()
     got = sorted(tuple(r[c] for c in columns) for r in spark.table("seen_events").collect())
     assert set(got) <= set(done + more + last) and len(got) >= len(done + more)
