@@ -73,6 +73,9 @@ def link_names(rows: DataFrame, group: str, name: str) -> DataFrame:
     are one; other columns are ignored, whatever their names; no rows give no rows.
     """
     names = rows.select(F.col(group).alias("g"), F.col(name).alias("name")).where("g is not null and name is not null").distinct()
+    # Names are few bytes but costly to rewrite: a fixed number of partitions is not coalesced by their size.
+    spark = rows.sparkSession
+    names = names.repartition(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "g", "name")
     nodes = cut(rewritten(names).withColumn("root", F.struct("g", "name")))
     for column in ("strong", "shorts", "cuts", "asks", "late"):
         if column == "strong":
