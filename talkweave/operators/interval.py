@@ -24,15 +24,18 @@ def asof_backward(left: DataFrame, right: DataFrame, key: str, left_time: str, r
     """
     place = F.struct(F.col(right_time).cast("bigint").alias("t"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(right_order)], *[F.col(c).alias(f"v{i}") for i, c in enumerate(payload)])
     r = right.where(F.col(key).isNotNull() & F.col(right_time).isNotNull()).select(F.col(key).alias("_k"), F.col(right_time).cast("bigint").alias("_t"), F.lit(0).alias("_side"), place.alias("_r"))
-    l = left.select(F.col(key).alias("_k"), F.col(left_time).cast("bigint").alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_l"))
-    both = r.unionByName(l, allowMissingColumns=True).withColumn("_b", F.coalesce(F.floor(F.col("_t") / block_ms), F.lit(-(1 << 40))))
+    usable = F.col("_k").isNotNull() & F.col("_t").isNotNull()
+    sides = left.select(F.col(key).alias("_k"), F.col(left_time).cast("bigint").alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_l"))
+    # Rows that can match nothing stay out of the windows, where they would all fall into one.
+    both = r.unionByName(sides.where(usable), allowMissingColumns=True).withColumn("_b", F.floor(F.col("_t") / block_ms))
     w = Window.partitionBy("_k", "_b").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    edges = both.where("_k is not null").groupBy("_k", "_b").agg(F.max("_r").alias("_last"))
+    edges = both.groupBy("_k", "_b").agg(F.max("_r").alias("_last"))
     before = exclusive_max(edges, ["_k"], {"_far": "_last"}, "_b", fan).select("_k", "_b", "_far")
-    seen = both.withColumn("_near", F.max("_r").over(w)).where("_side = 1").join(before, ["_k", "_b"], "left")
-    found = F.when(F.col("_t").isNotNull(), F.coalesce("_near", "_far"))
+    seen = both.withColumn("_near", F.max("_r").over(w)).where("_side = 1").join(before, ["_k", "_b"])
+    found = F.coalesce("_near", "_far")
     struct = F.when(found.isNotNull(), F.struct(*[found[f"v{i}"].alias(c) for i, c in enumerate(payload)]))
-    return seen.select("_l.*", struct.alias(name))
+    matched = seen.select("_l.*", struct.alias(name))
+    return matched.unionByName(sides.where(~usable).select("_l.*", F.lit(None).cast(matched.schema[name].dataType).alias(name)))
 
 
 def _buckets(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
