@@ -159,11 +159,11 @@ def pack(items: DataFrame, item: str, size: str, capacity: int) -> DataFrame:
 
     packed = _ranked(rest.where("size > 0"), ["id", "start"], sum(counts.values())).select("id", "part", "start", "size", "rank").mapInPandas(deal, schema)
     nothing = rest.where("size = 0 and start = 0").select("id", "part", "start", F.col("size").alias("n_tokens"), F.lit(0).cast("bigint").alias("container"), F.lit(0).cast("bigint").alias("offset"))
-    # Full parts: numbered behind the planned containers by the rank of their item among items of its number of parts.
+    # Full parts: the window without a key runs over the distinct numbers of parts, not over items. Numbered behind the planned containers by the rank of their item among items of its number of parts.
     full = d.where("parts > 0").select("id", F.col("parts").alias("size"))
     per = full.groupBy("size").agg(F.count("*").alias("n"))
     base = per.select("size", F.coalesce(F.sum(F.col("size") * F.col("n")).over(Window.orderBy("size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    numbered = _ranked(full, ["id"], 0).join(base, "size").select("id", F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("part"), (F.lit(made.n_containers) + F.col("base") + F.col("rank") * F.col("size")).alias("from"))
+    numbered = _ranked(full, ["id"], sum(counts.values())).join(base, "size").select("id", F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("part"), (F.lit(made.n_containers) + F.col("base") + F.col("rank") * F.col("size")).alias("from"))
     alone = numbered.select("id", F.col("part").cast("int").alias("part"), (F.col("part") * capacity).cast("bigint").alias("start"), F.lit(capacity).cast("bigint").alias("n_tokens"), (F.col("from") + F.col("part")).alias("container"), F.lit(0).cast("bigint").alias("offset"))
     return packed.unionByName(nothing).unionByName(alone).withColumnRenamed("id", item)
 
