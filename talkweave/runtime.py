@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,3 +32,21 @@ def cut(df: DataFrame) -> DataFrame:
 def millis(col) -> "F.Column":
     """Seconds as DOUBLE with three decimals -> whole milliseconds."""
     return F.round(F.col(col) * 1000 if isinstance(col, str) else col * 1000).cast("bigint")
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, unless they find it by PYTHONPATH or in the working folder anyway."""
+    root = Path(__file__).resolve().parent.parent
+    found = {Path(p).resolve() for p in [*os.environ.get("PYTHONPATH", "").split(os.pathsep), "."] if p}
+    app = spark.sparkContext.applicationId
+    if root in found or app in _shipped:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="talkweave-")) / "talkweave.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted((root / "talkweave").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
