@@ -17,6 +17,11 @@ LOW_CONFIDENCE = 0.5
 TITLE_SHARE = 0.7
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row, not once for every element that ``body`` goes through."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def page_lines(texts: Column, scores: Column, boxes: Column, polygons: Column) -> Column:
     """Lines of a recogniser's parallel arrays; the shorter of texts and scores counts, blank texts are dropped.
 
@@ -57,15 +62,22 @@ def mean_confidence(page: Column) -> Column:
 def title_index(page: Column) -> Column:
     """Position from 0 of the first line that is nearly as high as the highest; null without lines."""
     tallest = F.array_max(F.transform(page, lambda x: x["height"]))
-    at = F.transform(page, lambda x, i: F.when(x["height"] >= TITLE_SHARE * tallest, i))
-    return F.get(F.filter(at, lambda i: i.isNotNull()), F.lit(0))
+
+    def first(top: Column) -> Column:
+        at = F.transform(page, lambda x, i: F.when(x["height"] >= TITLE_SHARE * top, i))
+        return F.get(F.filter(at, lambda i: i.isNotNull()), F.lit(0))
+
+    return bound(tallest, first)
 
 
 def layout_name_index(page: Column) -> Column:
     """Position of the first name-shaped line that is not the title; null if there is none."""
-    title = title_index(page)
-    at = F.transform(page, lambda x, i: F.when(is_name_shaped(x["text"]) & (i != title), i))
-    return F.get(F.filter(at, lambda i: i.isNotNull()), F.lit(0))
+
+    def first(title: Column) -> Column:
+        at = F.transform(page, lambda x, i: F.when(is_name_shaped(x["text"]) & (i != title), i))
+        return F.get(F.filter(at, lambda i: i.isNotNull()), F.lit(0))
+
+    return bound(title_index(page), first)
 
 
 def crop_name(page: Column) -> Column:
@@ -86,15 +98,19 @@ def after_fallback(page: Column, tried: Column, answer: Column) -> Column:
 def content(page: Column, excluded: Column) -> Column:
     """struct(title, bullet_points, paragraphs, raw_text): lines sorted by kind, without the title and the line at
     ``excluded`` (a position, may be null). raw_text has all lines. A page without lines has no title and empty parts."""
-    title = title_index(page)
-    rest = F.filter(F.transform(page, lambda x, i: F.struct(x["text"].alias("t"), i.alias("i"))), lambda x: (x["i"] != title) & F.coalesce(x["i"] != excluded, F.lit(True)))
-    texts = F.transform(rest, lambda x: x["t"])
-    return F.struct(
-        F.get(F.transform(page, lambda x: x["text"]), title).alias("title"),
-        F.transform(F.filter(texts, is_bullet), without_marker).alias("bullet_points"),
-        F.filter(texts, lambda t: ~is_bullet(t)).alias("paragraphs"),
-        F.coalesce(F.array_join(F.transform(page, lambda x: x["text"]), "\n"), F.lit("")).alias("raw_text"),
-    )
+
+    def sorted_out(place: Column) -> Column:
+        title = place["title"]
+        rest = F.filter(F.transform(page, lambda x, i: F.struct(x["text"].alias("t"), i.alias("i"))), lambda x: (x["i"] != title) & F.coalesce(x["i"] != place["excluded"], F.lit(True)))
+        marked = F.transform(rest, lambda x: F.struct(x["t"].alias("t"), is_bullet(x["t"]).alias("b")))
+        return F.struct(
+            F.get(F.transform(page, lambda x: x["text"]), title).alias("title"),
+            F.transform(F.filter(marked, lambda x: x["b"]), lambda x: without_marker(x["t"])).alias("bullet_points"),
+            F.transform(F.filter(marked, lambda x: ~x["b"]), lambda x: x["t"]).alias("paragraphs"),
+            F.coalesce(F.array_join(F.transform(page, lambda x: x["text"]), "\n"), F.lit("")).alias("raw_text"),
+        )
+
+    return bound(F.struct(title_index(page).alias("title"), excluded.cast("int").alias("excluded")), sorted_out)
 
 
 def display_name(border_name: Column, border_confidence: Column, badge_name: Column, badge_confidence: Column, page: Column, vision_name: Column) -> Column:
