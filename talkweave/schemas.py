@@ -18,7 +18,7 @@ ARTIFACTS: dict[str, tuple[str, str | None, str]] = {
     "transcript": ("transcript.json", "segments", "start_s double, end_s double, speaker_id string, text string, language string"),
     "speaker_names": ("speaker_name_map.json", "mapping", "mapping map<string,string>"),
     "timeline": ("fused_timeline.json", "segments", "start double, end double, speaker string, transcript string, language string, slide struct<title:string,ocr_text:array<string>>"),
-    "insights": ("meeting_intelligence.json", None, f"summary string, topics array<struct<topic:string,summary:string,evidence:{EVIDENCE}>>, action_items array<struct<task:string,assignee:string,evidence_quote:string>>, llm_provider string, llm_model string"),
+    "insights": ("insights.json", None, f"summary string, topics array<struct<topic:string,summary:string,evidence:{EVIDENCE}>>, action_items array<struct<task:string,assignee:string,evidence_quote:string>>, llm_provider string, llm_model string"),
 }
 
 #: Fields that a stored row must have.

@@ -196,7 +196,7 @@ def test_command_line_runs_a_whole_meeting(spark, tmp_path, monkeypatch):
     assert set(load("speaker_name_map.json")["mapping"]) == {"Speaker_00", "Speaker_01"}
     timeline = load("fused_timeline.json")["segments"]
     assert timeline[0]["slide"] == {"title": "Quarter results", "ocr_text": ["Quarter results", "- first point"]} and len(timeline) == 2
-    insights = load("meeting_intelligence.json")
+    insights = load("insights.json")
     assert insights["llm_provider"] == "fake" and insights["topics"][0]["evidence"]["timestamps"] == [0.0]
     (folder / "fused_timeline.json").unlink()
     assert cli.main(["fuse", *common[:2]], spark) == 0 and load("fused_timeline.json")["segments"] == timeline
