@@ -36,8 +36,10 @@ PRIOR = 300
 TAIL = 160
 #: What a comma at the end, and a size at which texts pile up, take off the log-odds of ending.
 COMMA, AT_LIMIT = 4.0, 8.0
-#: Characters of a line's beginning by which kinds of lines are told apart, and the share of lines of a kind that must end as sentences do.
-LINE_KEY, PROSE_SHARE = 10, 0.04
+#: Characters of a line's beginning by which kinds of lines are told apart, and texts that a kind must stand in.
+LINE_KEY, KIND_TEXTS = 10, 5
+#: What a kind of lines adds to the log-odds of ending at most, and how many texts of either sort are assumed of every kind.
+KIND, KIND_PRIOR = 8.0, 0.02
 
 _END = re.compile(r"[.!?][\"'”’»)\]]*$")
 _BULLET = re.compile(r"^\s*(?:[-•*·–►]|\d+[.)])\s")
@@ -223,9 +225,10 @@ def declared_language(col: str):
 def score_endings(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
     """One row per document: id, state, log_odds of ending (null for 'whole' and 'empty'), threshold, is_cut.
 
-    A document is cut if its last line is prose and the log-odds fall below its language's threshold. Null and empty
-    texts are 'empty' and not cut. Repeated texts do not vouch for each other: an end counts once however many copies of
-    the text there are, and not for itself. Ids should be unique; repeated rows give repeated results. Other columns are
+    A document is cut if its last line is no listing and the log-odds fall below its language's threshold; lines inside
+    texts that begin alike and end without a sentence's mark raise them. Null and empty texts are 'empty' and not cut.
+    Repeated texts do not vouch for each other: an end counts once however many copies of the text there are, and not for
+    itself, and last lines tell nothing of a kind of lines. Ids should be unique; repeated rows give repeated results. Other columns are
     ignored. An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -299,10 +302,9 @@ def score_endings(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFra
     limits = _thresholds(sample.join(odds, "context"))
     judged = seen.join(odds, "context", "left").join(F.broadcast(limits), "lang", "left").join(_line_kinds(d), "line_key", "left").join(_field_limits(seen), "size", "left")
     threshold = F.coalesce("threshold", F.lit(limits.where("lang = ''").first()["threshold"]))
-    odds_there = F.col("log_odds") - F.when(F.col("state") == "comma", COMMA).otherwise(0.0) - F.when(F.col("at_limit") & (F.col("state") != "mark"), AT_LIMIT).otherwise(0.0)
-    prose = ~F.col("listing") & (F.coalesce("prose_share", F.lit(1.0)) >= PROSE_SHARE)
+    odds_there = F.col("log_odds") - F.when(F.col("state") == "comma", COMMA).otherwise(0.0) - F.when(F.col("at_limit") & (F.col("state") != "mark"), AT_LIMIT).otherwise(0.0) + F.coalesce("kind", F.lit(0.0))
     asked_for = F.col("state").isin("open", "mark", "comma")
-    return judged.select(F.col("id").alias(doc_id), "state", F.when(asked_for, odds_there).alias("log_odds"), threshold.alias("threshold"), (asked_for & prose & F.coalesce(odds_there < threshold, F.lit(False))).alias("is_cut"))
+    return judged.select(F.col("id").alias(doc_id), "state", F.when(asked_for, odds_there).alias("log_odds"), threshold.alias("threshold"), (asked_for & ~F.col("listing") & F.coalesce(odds_there < threshold, F.lit(False))).alias("is_cut"))
 
 
 def _field_limits(seen: DataFrame) -> DataFrame:
@@ -338,10 +340,17 @@ def _thresholds(scored: DataFrame) -> DataFrame:
 
 
 def _line_kinds(d: DataFrame) -> DataFrame:
-    """Share of the lines with one beginning that end as sentences do, over all lines of all texts."""
-    lines = d.select(F.explode(F.split("text", "\n")).alias("line"))
-    keyed = lines.select(F.regexp_replace(F.left("line", F.lit(LINE_KEY)), r"\d", "0").alias("line_key"), F.right(F.rtrim("line"), F.lit(1)).isin(".", "!", "?").cast("int").alias("closed"))
-    return keyed.groupBy("line_key").agg(F.avg("closed").alias("prose_share"), F.count("*").alias("n_lines")).where("n_lines >= 5").select("line_key", "prose_share")
+    """What lines with one beginning add to the log-odds of ending: the log of how many end without a sentence's mark to one with it.
+
+    Lines inside texts are complete; last lines may be cut, so they are left out. Each text, however many copies of it
+    there are, counts once for a kind, by the share of its lines of that kind that end as sentences do.
+    """
+    lines = F.split(F.rtrim("text", F.lit(_BLANKS)), "\n")
+    inside = d.select(F.xxhash64("text").alias("t"), F.explode(F.slice(lines, F.lit(1), F.size(lines) - 1)).alias("line"))
+    keyed = inside.select("t", F.regexp_replace(F.left("line", F.lit(LINE_KEY)), r"\d", "0").alias("line_key"), F.right(F.rtrim("line"), F.lit(1)).isin(".", "!", "?").cast("int").alias("closed"))
+    kinds = keyed.groupBy("line_key", "t").agg(F.avg("closed").alias("closed")).groupBy("line_key").agg(F.sum("closed").alias("closed"), F.count("*").alias("texts"))
+    lean = F.ln((F.col("texts") - F.col("closed") + KIND_PRIOR) / (F.col("closed") + KIND_PRIOR))
+    return kinds.where(F.col("texts") >= KIND_TEXTS).select("line_key", F.least(F.greatest(lean, F.lit(0.0)), F.lit(KIND)).alias("kind"))
 
 
 def cut_rates(scored: DataFrame, docs: DataFrame, doc_id: str, source: str) -> DataFrame:

@@ -90,3 +90,10 @@ def test_counts_equal_a_plain_count():
                         e, n = expected.get(h, (0, 0))
                         expected[h] = (e + end, n + 1)
     assert all(got[h] == v for h, v in expected.items())
+
+
+def test_copies_of_a_cut_text_do_not_vouch_for_it(spark, corpus):
+    lone = "Visitors can leave a note about the old bridge.\nXanthorpe people have been asking about the harbour li"
+    copies = [(8000 + i, lone, "en", "cut") for i in range(12)]
+    got = {r.doc_id: r.is_cut for r in T.score_endings(spark.createDataFrame(corpus + copies, SCHEMA), "doc_id", "text", "lang").collect()}
+    assert all(got[i] for i, *_ in copies)
