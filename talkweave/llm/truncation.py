@@ -36,10 +36,10 @@ PRIOR = 300
 TAIL = 160
 #: What a comma at the end, and a size at which texts pile up, take off the log-odds of ending.
 COMMA, AT_LIMIT = 4.0, 8.0
-#: Characters of a line's beginning by which kinds of lines are told apart, and texts that a kind must stand in.
-LINE_KEY, KIND_TEXTS = 10, 5
+#: Characters of a line's beginning by which kinds of lines are told apart.
+LINE_KEY = 10
 #: What a kind of lines adds to the log-odds of ending at most, and how many texts of either sort are assumed of every kind.
-KIND, KIND_PRIOR = 8.0, 0.02
+KIND, KIND_PRIOR = 8.0, 0.01
 
 _END = re.compile(r"[.!?][\"'”’»)\]]*$")
 _BULLET = re.compile(r"^\s*(?:[-•*·–►]|\d+[.)])\s")
@@ -343,14 +343,15 @@ def _line_kinds(d: DataFrame) -> DataFrame:
     """What lines with one beginning add to the log-odds of ending: the log of how many end without a sentence's mark to one with it.
 
     Lines inside texts are complete; last lines may be cut, so they are left out. Each text, however many copies of it
-    there are, counts once for a kind, by the share of its lines of that kind that end as sentences do.
+    there are, counts once for a kind, by the share of its lines of that kind that end as sentences do. One text of a kind says nearly as much as many, as lines
+    that begin alike mostly end alike. A last line shorter than a beginning is of a kind only if such lines stand inside texts.
     """
     lines = F.split(F.rtrim("text", F.lit(_BLANKS)), "\n")
     inside = d.select(F.xxhash64("text").alias("t"), F.explode(F.slice(lines, F.lit(1), F.size(lines) - 1)).alias("line"))
     keyed = inside.select("t", F.regexp_replace(F.left("line", F.lit(LINE_KEY)), r"\d", "0").alias("line_key"), F.right(F.rtrim("line"), F.lit(1)).isin(".", "!", "?").cast("int").alias("closed"))
     kinds = keyed.groupBy("line_key", "t").agg(F.avg("closed").alias("closed")).groupBy("line_key").agg(F.sum("closed").alias("closed"), F.count("*").alias("texts"))
     lean = F.ln((F.col("texts") - F.col("closed") + KIND_PRIOR) / (F.col("closed") + KIND_PRIOR))
-    return kinds.where(F.col("texts") >= KIND_TEXTS).select("line_key", F.least(F.greatest(lean, F.lit(0.0)), F.lit(KIND)).alias("kind"))
+    return kinds.select("line_key", F.least(F.greatest(lean, F.lit(0.0)), F.lit(KIND)).alias("kind"))
 
 
 def cut_rates(scored: DataFrame, docs: DataFrame, doc_id: str, source: str) -> DataFrame:

@@ -97,3 +97,11 @@ def test_copies_of_a_cut_text_do_not_vouch_for_it(spark, corpus):
     copies = [(8000 + i, lone, "en", "cut") for i in range(12)]
     got = {r.doc_id: r.is_cut for r in T.score_endings(spark.createDataFrame(corpus + copies, SCHEMA), "doc_id", "text", "lang").collect()}
     assert all(got[i] for i, *_ in copies)
+
+
+def test_line_kinds_take_short_lines_from_inside_texts_and_few_texts_count(spark):
+    short = [(f"Norvale {i} lies at the sea.\nVolunteer",) for i in range(9)]
+    rows = [*short, ("Read more\nThe end",), ("Read more\nThe end",), ("Contact us\nOne.",), ("Volunteers met.\nVolunteers left.\nVolunteers",), (None,), ("",)]
+    got = {r.line_key: r.kind for r in T._line_kinds(spark.createDataFrame(rows, "text string")).collect()}
+    assert "Volunteer" not in got and "The end" not in got and got["Volunteers"] == 0.0
+    assert 4 < got["Read more"] == got["Contact us"] <= T.KIND
