@@ -74,6 +74,16 @@ def ending(tail: str | None, size: int) -> tuple[str, str]:
     return ("mark" if mark else "open"), context
 
 
+def around_last_word(text: str) -> str:
+    """The TAIL characters up to the last letter or digit of a text, and as many of the marks behind it."""
+    if len(text) <= TAIL:
+        return text
+    end = len(text)
+    while end and not text[end - 1].isalnum():
+        end -= 1
+    return text[-TAIL:] if len(text) - end <= TAIL - 40 else text[max(0, end - TAIL) : end + TAIL]
+
+
 def is_listing(line: str, before: str) -> bool:
     """Lines that are no prose: bullets, footers, links, telephone numbers, menus, times, signatures and what is among them."""
     line, before = line.strip(), before.strip()
@@ -233,18 +243,24 @@ def score_endings(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFra
     """
     spark = docs.sparkSession
     d = docs.select(F.col(doc_id).alias("id"), declared_language(lang).alias("lang"), F.col(text).alias("text"))
-    last = F.substring_index(F.rtrim("text", F.lit(_BLANKS)), "\n", -1)
-    ends = d.select("id", "lang", F.length("text").alias("size"), F.right("text", F.lit(TAIL)).alias("tail"), F.left(last, F.lit(LINE_KEY)).alias("line_key"))
+    trimmed = F.rtrim("text", F.lit(_BLANKS))
+    last = F.substring_index(trimmed, "\n", -1)
+    tail = F.right(trimmed, F.lit(TAIL))
+    tail = F.when(tail.rlike(r"(?Us)^.{40}.*\w"), tail).otherwise(trimmed)  # few texts end in so many marks
+    ends = d.select("id", "lang", F.length("text").alias("size"), tail.alias("tail"), F.left(last, F.lit(LINE_KEY)).alias("line_key"))
 
     def look(batches):
         for b in batches:
             out = []
             for id_, lang_, size, tail, key in b.itertuples(index=False):
+                tail = around_last_word(tail or "")
                 state, context = ending(tail, size or 0)
-                lines = (tail or "").rstrip().split("\n")
+                lines = tail.rstrip().split("\n")
+                if len(lines) == 1 and (size or 0) > TAIL:
+                    lines = [re.sub(r"^[\W_]+", "", lines[0])]  # the tail may begin inside a word or at a dash
                 listing = is_listing(lines[-1], lines[-2] if len(lines) > 1 else "")
                 key = None if re.search(r"[^\W\d_]{3}[.!?] \w", lines[-1]) else key  # a line of several sentences is prose
-                out.append((id_, lang_, size, state, context, tail or "", listing, key and _DIGIT.sub("0", key)))
+                out.append((id_, lang_, size, state, context, tail, listing, key and _DIGIT.sub("0", key)))
             yield pd.DataFrame(out, columns=["id", "lang", "size", "state", "context", "tail", "listing", "line_key"])
 
     kind = ends.schema["id"].dataType.simpleString()

@@ -105,3 +105,10 @@ def test_line_kinds_take_short_lines_from_inside_texts_and_few_texts_count(spark
     got = {r.line_key: r.kind for r in T._line_kinds(spark.createDataFrame(rows, "text string")).collect()}
     assert "Volunteer" not in got and "The end" not in got and got["Volunteers"] == 0.0
     assert 4 < got["Read more"] == got["Contact us"] <= T.KIND
+
+
+def test_blanks_and_marks_behind_a_cut_do_not_hide_it(spark, corpus):
+    cut = "Visitors can leave a note about the old bridge at the desk. Volunteers collected 12 comments abo"
+    odd = [(5000, cut, "en", ""), (5001, cut + " " * 400, "en", ""), (5002, cut + "\n" * 200, "en", ""), (5003, cut + "." * 170, "en", ""), (5004, cut + "-" * 140, "en", "")]
+    got = {r.doc_id: (r.state, r.is_cut) for r in T.score_endings(spark.createDataFrame(corpus + odd, SCHEMA), "doc_id", "text", "lang").collect()}
+    assert [got[i] for i in range(5000, 5005)] == [("open", True)] * 3 + [("mark", True)] * 2
