@@ -28,8 +28,6 @@ DEPTHS = (2, 4, 6, 8, 11, 15)
 WEIGHT = 3.0
 #: Bits of the table of wanted contexts (512 KB).
 BITS = 1 << 22
-#: Bound of the sample of whole sentences, per language, that thresholds are fitted on.
-SAMPLE_TEXTS = 1500
 #: Weight of all languages together in the threshold of one, in sentences.
 PRIOR = 300
 #: Characters of the end of a text in which its last words and marks are looked for; contexts are far shorter.
@@ -210,10 +208,10 @@ def _whole_and_cut(batches):
     """For each whole sentence its context, and the context that it has when cut inside."""
     for b in batches:
         out = []
-        for lang, context, tail in b[["lang", "context", "tail"]].itertuples(index=False):
+        for lang, context, tail, copies in b[["lang", "context", "tail", "copies"]].itertuples(index=False):
             if cut := cut_inside(tail, zlib.crc32(tail.encode("utf-8", "replace"))):
-                out += [(lang, context, True), (lang, ending(cut, len(cut))[1], False)]
-        yield pd.DataFrame(out, columns=["lang", "context", "truly"])
+                out += [(lang, context, True, copies), (lang, ending(cut, len(cut))[1], False, copies)]
+        yield pd.DataFrame(out, columns=["lang", "context", "truly", "copies"])
 
 
 def _wanted(contexts: DataFrame) -> np.ndarray:
@@ -232,13 +230,14 @@ def declared_language(col: str):
     return F.when(code == "", "xx").otherwise(code)
 
 
-def score_endings(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
+def score_endings(docs: DataFrame, doc_id: str, text: str, lang: str, sample_texts: int | None = None) -> DataFrame:
     """One row per document: id, state, log_odds of ending (null for 'whole' and 'empty'), threshold, is_cut.
 
     A document is cut if its last line is no listing and the log-odds fall below its language's threshold; lines inside
     texts that begin alike and end without a sentence's mark raise them. Null and empty texts are 'empty' and not cut.
     Repeated texts do not vouch for each other: an end counts once however many copies of the text there are, and not for
-    itself, and last lines tell nothing of a kind of lines. Ids should be unique; repeated rows give repeated results. Other columns are
+    itself, and last lines tell nothing of a kind of lines. Thresholds are fitted on all whole sentences, or on at most
+    ``sample_texts`` of each language; their own occurrences, copies included, are taken off the counts as well. Ids should be unique; repeated rows give repeated results. Other columns are
     ignored. An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -267,12 +266,12 @@ def score_endings(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFra
     seen = checkpoint(ends.mapInPandas(look, f"id {kind}, lang string, size int, state string, context string, tail string, listing boolean, line_key string"))
 
     open_ends = seen.where("state in ('open', 'mark', 'comma') and not listing").select("context", "lang").distinct()
-    salt = F.pmod(F.xxhash64("context"), F.lit(32))
-    within = Window.partitionBy("lang", "_s").orderBy(F.xxhash64("context"), "context", "tail")
-    overall = Window.partitionBy("lang").orderBy(F.xxhash64("context"), "context", "tail")
-    known = seen.where("state = 'whole' and not listing").select("lang", "context", "tail").distinct().withColumn("_s", salt)
-    known = known.withColumn("k", F.row_number().over(within)).where(F.col("k") <= SAMPLE_TEXTS).withColumn("k", F.row_number().over(overall)).where(F.col("k") <= SAMPLE_TEXTS)
-    sample = checkpoint(known.select("lang", "context", "tail").mapInPandas(_whole_and_cut, "lang string, context string, truly boolean"))
+    known = seen.where("state = 'whole' and not listing").groupBy("context", "tail").agg(F.count("*").alias("copies"), F.collect_set("lang").alias("langs")).select(F.explode("langs").alias("lang"), "context", "tail", "copies")
+    if sample_texts is not None:
+        within = Window.partitionBy("lang", F.pmod(F.xxhash64("context"), F.lit(32))).orderBy(F.xxhash64("context"), "context", "tail")
+        overall = Window.partitionBy("lang").orderBy(F.xxhash64("context"), "context", "tail")
+        known = known.withColumn("k", F.row_number().over(within)).where(F.col("k") <= sample_texts).withColumn("k", F.row_number().over(overall)).where(F.col("k") <= sample_texts)
+    sample = checkpoint(known.select("lang", "context", "tail", "copies").mapInPandas(_whole_and_cut, "lang string, context string, truly boolean, copies bigint"))
 
     asked = open_ends.select("context").unionByName(sample.select("context")).distinct()
     hashed = checkpoint(_with_hashes(asked))
@@ -308,14 +307,11 @@ def score_endings(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFra
     parts = 16
     spread = counts.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     met = hashed.withColumn("s", F.pmod(F.xxhash64("context"), F.lit(parts)).cast("int")).join(spread, ["h", "s"], "left")
+    per = checkpoint(met.groupBy("context").agg(F.array_sort(F.collect_list(F.struct("depth", F.coalesce("ends", F.lit(0)).alias("ends"), F.coalesce("n", F.lit(0)).alias("n")))).alias("x")))
     own = F.when(F.col("own"), 1).otherwise(0)
-    per = met.groupBy("context").agg(F.array_sort(F.collect_list(F.struct("depth", F.coalesce("ends", F.lit(0)).alias("ends"), F.coalesce("n", F.lit(0)).alias("n")))).alias("x"))
-    per = per.join(tails.select("context", F.lit(True).alias("own")), "context", "left")
-    p = F.aggregate(F.col("x"), F.lit(0.05), lambda acc, y: (F.greatest(y["ends"] - own, F.lit(0)) + WEIGHT * acc) / (F.greatest(y["n"] - own, F.lit(0)) + WEIGHT))
-    p = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
-    odds = checkpoint(per.select("context", F.ln(p / (1 - p)).alias("log_odds")))
+    odds = per.join(tails.select("context", F.lit(True).alias("own")), "context", "left").select("context", _log_odds(own, own).alias("log_odds"))
 
-    limits = _thresholds(sample.join(odds, "context"))
+    limits = checkpoint(_thresholds(sample.join(per, "context").select("lang", "truly", _log_odds(F.when(F.col("truly"), F.col("copies")).otherwise(0), F.col("copies")).alias("log_odds"))))
     judged = seen.join(odds, "context", "left").join(F.broadcast(limits), "lang", "left").join(_line_kinds(d), "line_key", "left").join(_field_limits(seen), "size", "left")
     threshold = F.coalesce("threshold", F.lit(limits.where("lang = ''").first()["threshold"]))
     odds_there = F.col("log_odds") - F.when(F.col("state") == "comma", COMMA).otherwise(0.0) - F.when(F.col("at_limit") & (F.col("state") != "mark"), AT_LIMIT).otherwise(0.0) + F.coalesce("kind", F.lit(0.0))
@@ -335,6 +331,13 @@ def _with_hashes(contexts: DataFrame) -> DataFrame:
     return contexts.mapInPandas(lambda batches: (hash_contexts(b["context"]) for b in batches), "context string, depth int, h bigint")
 
 
+def _log_odds(own_ends, own_n):
+    """Log-odds of ending by the counts ``x`` of a context, from the shallow to the deep, without its own."""
+    p = F.aggregate(F.col("x"), F.lit(0.05), lambda acc, y: (F.greatest(y["ends"] - own_ends, F.lit(0)) + WEIGHT * acc) / (F.greatest(y["n"] - own_n, F.lit(0)) + WEIGHT))
+    p = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
+    return F.ln(p / (1 - p))
+
+
 def _thresholds(scored: DataFrame) -> DataFrame:
     """Per language the log-odds with the fewest errors on the sample, where to call a whole sentence cut counts twice.
 

@@ -112,3 +112,16 @@ def test_blanks_and_marks_behind_a_cut_do_not_hide_it(spark, corpus):
     odd = [(5000, cut, "en", ""), (5001, cut + " " * 400, "en", ""), (5002, cut + "\n" * 200, "en", ""), (5003, cut + "." * 170, "en", ""), (5004, cut + "-" * 140, "en", "")]
     got = {r.doc_id: (r.state, r.is_cut) for r in T.score_endings(spark.createDataFrame(corpus + odd, SCHEMA), "doc_id", "text", "lang").collect()}
     assert [got[i] for i in range(5000, 5005)] == [("open", True)] * 3 + [("mark", True)] * 2
+
+
+def test_sampled_sentences_do_not_vouch_for_themselves(spark, corpus):
+    # every text has words of its own, so nothing but itself and its copies says how it goes on
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("bcdfghklmnprstvw") + rng.choice("aeiou") for _ in range(4))
+    rows = [(i, " ".join(word() for _ in range(30)) + ".", "xq", "whole") for i in range(300)]
+    cuts = [(9000 + i, " ".join(word() for _ in range(30)), "xq", "cut") for i in range(100)]
+    docs = spark.createDataFrame(rows * 3 + cuts, SCHEMA)
+    every = T.score_endings(docs, "doc_id", "text", "lang").select("threshold").distinct().collect()
+    # with their own ends counted, whole sentences would seem sure to end, and the threshold would lie far higher
+    assert len(every) == 1 and every[0].threshold < -4
+    assert T.score_endings(docs, "doc_id", "text", "lang", 50).count() == docs.count()
