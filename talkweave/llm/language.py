@@ -35,7 +35,8 @@ LEAST_WORDS = 4
 REJECT = 0.0005
 UNKNOWN = "und"
 
-_TOKEN = regex.compile(r"\[[^\]\n]{0,80}\]|\([^)\n]{0,40}\)|[\p{L}\p{M}]+(?:['’][\p{L}\p{M}]+)*|\p{N}+|[.!?…。]+|[,;:–—\n]")
+_FEW = rf"(?:[^\p{{L}}()\[\]\n]*+[\p{{L}}\p{{M}}'’]++){{0,{LEAST_WORDS - 1}}}+[^\p{{L}}()\[\]\n]*+"
+_TOKEN = regex.compile(rf"\[{_FEW}\]|\({_FEW}\)|[\p{{L}}\p{{M}}]+(?:['’][\p{{L}}\p{{M}}]+)*|\p{{N}}+|[.!?…。]+|[,;:–—()\[\]\n]")
 _STRIP = regex.compile(r"\p{Mn}+")
 
 
@@ -60,7 +61,7 @@ class Words:
 
 
 def split_words(texts) -> Words:
-    """Letters make words, digits make words without letters; what stands in brackets alone is no speech."""
+    """Letters make words, digits make words without letters; fewer than LEAST_WORDS words in brackets are no speech."""
     words, rows, gap, first, last = [], [], [], [], []
     for r, text in enumerate(texts):
         if not isinstance(text, str):

@@ -116,3 +116,12 @@ def test_label_notations(spark):
     labels = ["en_GB", " EN ", "Deutsch", "fra", "pt-BR", "und", "", None, "ja", "auto", "nl_BE", "русский"]
     got = [r[0] for r in spark.createDataFrame([(x,) for x in labels], "a string").select(L.label_language("a")).collect()]
     assert got == ["en", "en", "de", "fr", "pt", None, None, None, None, None, "nl", "ru"]
+
+
+def test_clauses_in_brackets_are_scored_and_remarks_are_not():
+    words = lambda t: L.split_words([t]).words
+    assert words("Yes (applause) and [very loud laughter] no () (12:30)") == ["yes", "and", "no"]
+    assert words("Yes (das ist gut so) no") == ["yes", "das", "ist", "gut", "so", "no"]
+    assert words("Yes [c'est la vie ici] no") == ["yes", "c'est", "la", "vie", "ici", "no"]
+    assert words("Yes (" + "applause " * 3 + " " * 60 + ") no") == ["yes", "no"]
+    assert len(words("(" * 50_000 + "yes")) == 1
