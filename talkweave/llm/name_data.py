@@ -46,3 +46,7 @@ NOBODY = set("host cohost guest user participant zoom teams meeting room confere
 
 #: What clients and people put behind a name: pronouns, states, roles and departments, after a bar or dash or in brackets.
 REMARKS = set("host cohost co-host guest muted presenter organizer organiser moderator admin she her he him they them hers his theirs me you away external panelist".split())
+
+#: Rows of letters on a keyboard, and letters that look alike on a screen.
+KEY_ROWS = "qwertyuiop asdfghjkl zxcvbnm"
+LOOKALIKES = "ce il uv gq bh"

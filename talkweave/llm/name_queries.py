@@ -21,7 +21,7 @@ def p2_entities(spark, folder):
     """Every spelling with its entity, and the number of spellings of that entity."""
     linked = _linked(spark, folder)
     sizes = linked.groupBy("meeting_id", "entity").agg(F.count("*").alias("n_spellings"))
-    return linked.join(sizes, ["meeting_id", "entity"]).select("meeting_id", "display_name", "entity", "kind", "n_spellings")
+    return linked.join(sizes, ["meeting_id", "entity"]).select("meeting_id", "display_name", "entity", "kind", "n_spellings", "score")
 
 
 QUERIES = {"p2_found": p2_found, "p2_entities": p2_entities}

@@ -1,10 +1,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from talkweave.llm.entities import link_names, variant_pairs
+from talkweave.llm.entities import link_names, readings, spread, variant_pairs
 from talkweave.llm.graph import components
-from talkweave.llm.names import distance, forms, nearest, reductions
+from talkweave.llm.names import APART, SLIP, WRONG, cost, distance, forms, nearest, read, reductions, slips
 
 ONE = ["Meera Thornquist", "MEERA THORNQUIST", "Thornquist, Meera", "Meera  Thornquist -", "Dr. Meera Thornquist", "meera.thornquist", "MeeraThornquist", "Meera Thornqiust", "Mera Thornquizt", "M. Thornquist", "Meera T.", "Meera Thor…", "thornquistm", "Meera Thornquist (she/her)", "Meera Thornquist's iPad", "Meera K. Thornquist", "Meera Thornquist | Planning", "Thornquist"]
 TWO = ["Robert Thornquist", "Bob Thornquist", "Rob Thornquist", "Robbie", "Bob's laptop", "Thornquist Robert"]
@@ -53,23 +54,49 @@ def test_very_long_name(spark):
     assert set(linked(spark, ["Ann Lee " + "x" * 400, "word " * 3000])) == {"Ann Lee " + "x" * 400, "word " * 3000}
 
 
-def test_two_typing_errors_always_meet():
+PEOPLE = ["Peter Hansen / Peter Jensen", "Anna Schmidt / Anna Schmitz", "John Martin / John Merlin", "Laura Becker / Laura Beckett", "David Wilson / David Nelson", "Anna Keller / Anna Kessler", "Carla Bianchi / Carlo Bianchi", "Maria Fischer / Maria Fiedler", "Peter Johansen / Peter Johanson", "Lars Petersen / Lars Pedersen", "Anna Meyer / Anna Meier", "Julia Weber / Julian Weber", "Marta Braun / Maria Braun", "Daniel Roth / Daniela Roth", "Erik Andersen / Erik Anderson"]
+
+
+def test_like_names_of_different_people_stay_apart(spark):
+    rows = [(str(i), n, "x", 1) for i, pair in enumerate(PEOPLE) for n in pair.split(" / ")]
+    got = link_names(spark.createDataFrame(rows, SCHEMA), "m", "n").collect()
+    assert len(got) == 2 * len(PEOPLE) and all(r["n"] == r["entity"] and r["score"] == 3.0 for r in got)
+
+
+def test_a_rare_variant_links_to_a_frequent_name_only(spark):
+    rows = [("a", "Erik Andersen", "x", 1)] * 20 + [("a", "Erik Anderson", "x", 1)] + [("b", "Erik Andersen", "x", 1)] * 20 + [("b", "Erik Anderson", "x", 1)] * 20
+    got = {(r["m"], r["n"]): (r["entity"], r["score"]) for r in link_names(spark.createDataFrame(rows, SCHEMA), "m", "n").collect()}
+    assert got["a", "Erik Anderson"][0] == "Erik Andersen" and 0 <= got["a", "Erik Anderson"][1] < 3 and got["b", "Erik Anderson"] == ("Erik Anderson", 3.0)
+
+
+def test_an_initial_goes_to_the_surname_it_names(spark):
+    got = linked(spark, ["Peter Hansen", "Paul Hanson", "P. Hansen", "J. Kessler", "Jon Keller", "P. Hnson"])
+    assert got["P. Hansen"] == got["Peter Hansen"] != got["Paul Hanson"] and got["J. Kessler"] != got["Jon Keller"] and len({got["P. Hnson"], got["Peter Hansen"], got["Paul Hanson"]}) == 2
+
+
+def test_candidates_within_two_errors_always_share_a_near_form():
     rng = random.Random(5)
-    for _ in range(150):
-        name = ["Ariadne", "Pellbrocks"]
+    true = "Ariadne Pellbrockstone"
+    for k in range(300):
+        words = true.split()
         for _ in range(2):
-            k = rng.randrange(2)
-            w, i = name[k], rng.randrange(1, len(name[k]) - 1)
-            name[k] = rng.choice([w[:i] + w[i + 1 :], w[:i] + "z" + w[i + 1 :], w[:i] + "z" + w[i:], w[:i] + w[i + 1] + w[i] + w[i + 2 :]])
-        if max(distance(a.lower(), b.lower()) for a, b in zip(name, ["Ariadne", "Pellbrocks"])) < 3:
-            assert forms(" ".join(name)).strong & forms("Ariadne Pellbrocks").strong, name
-
-
-def test_small_parts():
-    assert distance("abcd", "abdc") == 1 and distance("abc", "xyz") == 3 and distance("", "ab") == 2
-    assert {x for x, _ in reductions("abc", 2)} == {"abc", "ab", "ac", "bc"} and reductions("ab", 2) == [("ab", 0)]
-    assert nearest("rebeca", "given") == ("rebecca",) and nearest("qqqq", "given") == ()
-    assert not forms("Guest's iPhone").kind and not forms("Reecption").kind and forms("Ann's iPhone").kind == "person"
+            i = rng.randrange(2)
+            w, p = words[i], rng.randrange(1, len(words[i]) - 1)
+            words[i] = rng.choice([w[:p] + w[p + 1 :], w[:p] + rng.choice("aezx") + w[p + 1 :], w[:p] + w[p] + w[p:], w[:p] + w[p + 1] + w[p] + w[p + 2 :]])
+        a, b = read(" ".join(words)), read(true)
+        if cost(a, b) < APART and distance(a.given, b.given) < 2 and distance(a.last, b.last) < 3 and distance(a.given, b.given) + distance(a.last, b.last) < 3:
+            assert forms(a, "m").near & forms(b, "m").near, words
+        assert not forms(a, "m").near & forms(b, "n").near
+    long = "k" + "abcdefgh" * 12 + "z"
+    for other in (long[:50] + long[51:], long[:3] + "q" + long[3:], long[:90] + "b" + long[91:]):
+        x, y = read("Ann " + long), read("Ann " + other)
+        assert forms(x, "m").near & forms(y, "m").near and cost(x, y) <= WRONG
+
+
+def test_names_are_read_in_as_many_tasks_as_cores(spark):
+    rows = spark.range(400).selectExpr("'m' as g", "concat('Ann Lee', id) as name").groupBy("g", "name").agg(F.count("*").alias("n"))
+    sizes = readings(spread(rows, "g", "name")).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(sizes) >= spark.sparkContext.defaultParallelism and sum(r["count"] for r in sizes) == 400
 
 
 @pytest.mark.parametrize("seed", range(2))
