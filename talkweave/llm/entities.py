@@ -143,9 +143,11 @@ def link_names(rows: DataFrame, group: str, name: str) -> DataFrame:
     names = rows.select(F.col(group).alias("g"), F.col(name).alias("name")).where("g is not null and name is not null").groupBy("g", "name").agg(F.count("*").alias("n"))
     read_names = cut(readings(spread(names, "g", "name")))
     nodes = read_names.groupBy("g", *_READING).agg(F.sum("n").alias("n"), F.max("cut").alias("cut"), F.collect_set("typed").alias("typed"))
-    nodes = cut(_with_forms(spread(nodes, "g", "last", "given")).withColumn("id", F.monotonically_increasing_id()))
+    # Whole names come before shortened ones, so that nearly all components are found in one round.
+    shortened = F.when(F.col("shape").isin("person", "organisation"), 0).otherwise(1 << 62)
+    nodes = cut(_with_forms(spread(nodes, "g", "last", "given")).withColumn("id", F.monotonically_increasing_id() + shortened))
     parents = cut(_variants(nodes))
-    entity = cut(double_pointers(parents).select("id", "root"))
+    entity = double_pointers(parents).select("id", "root")
 
     asked = cut(nodes.select("id", F.explode("asks").alias("x")).select("id", "x.*"))
     wanted = asked.select("form").distinct()

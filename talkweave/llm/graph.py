@@ -21,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
     while not rest.isEmpty():
         both = rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parents = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("least")).select("id", F.least("id", "least").alias("parent"))
-        roots = cut(double_pointers(cut(parents)).select("id", "root"))
+        roots = double_pointers(parents).select("id", "root")  # rests on what pointer doubling has materialised
         if labels is None:
             labels = roots
         else:

@@ -215,7 +215,7 @@ def reductions(word: str, most: int) -> set[str]:
 _MASK = (1 << 64) - 1
 
 
-@lru_cache(1_000_000)
+@lru_cache(100_000)
 def _h(text: str) -> int:
     return xxhash.xxh64_intdigest(text)
 
