@@ -118,7 +118,7 @@ def _attach(asks: DataFrame, offers: DataFrame) -> DataFrame:
     """
     # Two extremes tell one from several. Of the surnames offered under a form those nearest to what was asked for count.
     rarity = offers.groupBy("form", "last").agg(F.min("of").alias("low"), F.max("of").alias("high"))
-    met = asks.join(rarity, "form").where("not (low = high and low = id)").withColumn("c", F.when(F.col("last").isNull(), 0).otherwise(_word_cost("word", F.coalesce("last", F.lit("")))))
+    met = spread(asks.join(rarity, "form").where("not (low = high and low = id)"), "id", "form").withColumn("c", F.when(F.col("last").isNull(), 0).otherwise(_word_cost("word", F.coalesce("last", F.lit("")))))
     answers = met.where(F.col("c") <= SLIP).groupBy("id", "c").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     nearest = answers.groupBy("id").agg(F.min(F.struct("c", "low", "high")).alias("x"))
     return nearest.select(F.col("id").alias("a"), F.when(F.col("x.low") == F.col("x.high"), F.col("x.low")).alias("b"))

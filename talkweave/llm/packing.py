@@ -5,9 +5,10 @@ counts, whose number is bounded by the capacity whatever the number of items, an
 their rank among items of their size.
 
 The plan takes the largest size left and looks for what fills the gap exactly: a single size equal to the gap, then a
-pair, then a triple that adds up to it, all indexed by the sizes still available. If there is none, the largest size that
-fits is added and the search goes on in the smaller gap: best fit for the residuals. The combination is then used as
-often as the counts allow.
+pair, then a triple that adds up to it. Sums are indexed: a table addressed by the sum tells which sums single sizes,
+pairs and triples can have, and availability is updated in place. If nothing fits exactly, the largest size that fits is
+added and the search goes on in the smaller gap: best fit for the residuals. The combination is then used as often as
+the counts allow.
 """
 
 from __future__ import annotations
@@ -21,39 +22,104 @@ from pyspark.sql import functions as F
 
 from talkweave.runtime import cut
 
-#: Largest capacity accepted: the plan is made on the driver from at most so many counts.
-MAX_CAPACITY = 1 << 20
-
-
-def exact_fill(gap: int, free: np.ndarray) -> list[int] | None:
-    """One, two or three sizes that add up to ``gap`` exactly, largest first; ``free`` holds how many are free of each size."""
-    if gap < len(free) and free[gap]:
-        return [gap]
-    top = min(gap - 1, len(free) - 1)
-    pair = _pair(gap, top, free)
-    if pair:
-        return pair
-    for a in np.flatnonzero(free[: top + 1])[::-1]:
-        if 3 * a < gap:
-            break
-        free[a] -= 1
-        rest = _pair(gap - int(a), min(int(a), gap - int(a) - 1), free)
-        free[a] += 1
-        if rest:
-            return [int(a), *rest]
-    return None
-
-
-def _pair(total: int, top: int, free: np.ndarray) -> list[int] | None:
-    """Two sizes up to ``top`` that add up to ``total``, the larger as large as can be."""
-    low = (total + 1) // 2
-    if top < low:
+#: Units that a capacity is divided into at most. Beyond so many tokens sizes are rounded up to whole units for the plan,
+#: which leaves less than a unit unused per item; the driver never holds more counts than this.
+MOST_UNITS = 1 << 20
+#: Sizes looked at together in the search for a pair.
+PROBES = 1024
+
+
+class Sums:
+    """Counts of sizes up to ``top`` with an index of the sums of one, two and three of them.
+
+    The index is exact when it is built and only ever errs by holding sums that are no longer to be had, since sizes
+    only run out: a sum that turns out to be gone is struck off, and the index is built anew when a quarter of the
+    sizes have run out.
+    """
+
+    def __init__(self, free: np.ndarray):
+        self.free = free
+        self._index()
+
+    def _index(self) -> None:
+        self.sizes = np.flatnonzero(self.free)
+        n = len(self.free)
+        single = np.zeros(n)
+        single[self.sizes] = 1.0
+        length = 1 << (2 * n - 1).bit_length()
+        spectrum = np.fft.rfft(single, length)
+        self.pairs = np.fft.irfft(spectrum * spectrum, length)[:n] > 0.5
+        self.triples = np.fft.irfft(np.fft.rfft(self.pairs.astype(float), length) * spectrum, length)[:n] > 0.5
+        self.gone = 0
+
+    def take(self, size: int, n: int = 1) -> None:
+        self.free[size] -= n
+        if not self.free[size]:
+            self.gone += 1
+            if 4 * self.gone > len(self.sizes):
+                self._index()
+
+    def largest(self, most: int) -> int:
+        """The largest size left up to ``most``; 0 if there is none."""
+        at = int(np.searchsorted(self.sizes, most, "right"))
+        while at:
+            low = max(0, at - PROBES)
+            left = np.flatnonzero(self.free[self.sizes[low:at]])
+            if len(left):
+                return int(self.sizes[low + left[-1]])
+            at = low
+        return 0
+
+    def pair(self, total: int, top: int, aside: bool = False) -> tuple[int, int] | None:
+        """Two sizes up to ``top`` that add up to ``total``, the larger as large as can be.
+
+        A sum without a pair is struck off, unless some of the sizes are only set ``aside``.
+        """
+        if total < 2 or not self.pairs[total]:
+            return None
+        low, high = int(np.searchsorted(self.sizes, (total + 1) // 2)), int(np.searchsorted(self.sizes, min(top, total - 1), "right"))
+        for end in range(high, low, -PROBES):
+            large = self.sizes[max(low, end - PROBES) : end]
+            ok = (self.free[large] > 0) & (self.free[total - large] > 0)
+            ok[(2 * large == total) & (self.free[large] < 2)] = False
+            found = np.flatnonzero(ok)
+            if len(found):
+                a = int(large[found[-1]])
+                return a, total - a
+        if top >= total - 1 and not aside:
+            self.pairs[total] = False
+        return None
+
+    def triple(self, total: int) -> tuple[int, int, int] | None:
+        """Three sizes that add up to ``total``, the largest as large as can be."""
+        if total < 3 or not self.triples[total]:
+            return None
+        low, high = int(np.searchsorted(self.sizes, -(-total // 3))), int(np.searchsorted(self.sizes, total - 2, "right"))
+        lost = False
+        for end in range(high, low, -PROBES):
+            large = self.sizes[max(low, end - PROBES) : end]
+            for a in large[(self.free[large] > 0) & self.pairs[total - large]][::-1]:
+                a = int(a)
+                if not self.pairs[total - a]:
+                    continue
+                self.free[a] -= 1
+                rest = self.pair(total - a, a, aside=True)
+                self.free[a] += 1
+                if rest:
+                    return (a, *rest)
+                self.pair(total - a, total - a - 1)
+                lost = lost or self.pairs[total - a]
+        if not lost:
+            self.triples[total] = False
         return None
-    ok = (free[low : top + 1] > 0) & (free[total - top : total - low + 1][::-1] > 0)
-    if 2 * low == total and free[low] < 2:
-        ok[0] = False
-    found = np.flatnonzero(ok)
-    return [low + int(found[-1]), total - low - int(found[-1])] if len(found) else None
+
+    def fill(self, gap: int) -> tuple[int, ...] | None:
+        """One, two or three sizes that add up to ``gap`` exactly, largest first."""
+        if gap < len(self.free) and self.free[gap]:
+            return (gap,)
+        if gap >= len(self.free):
+            return None
+        return self.pair(gap, gap - 1) or self.triple(gap)
 
 
 @dataclass
@@ -79,20 +145,17 @@ def plan(counts: dict[int, int], capacity: int) -> Plan:
         free[size] = n
     dealt = np.zeros(capacity + 1, dtype=np.int64)
     rows, containers = [], 0
-    left = [int(s) for s in np.flatnonzero(free)]
-    while left:
-        if not free[left[-1]]:
-            left.pop()
-            continue
-        chosen, gap = [left[-1]], capacity - left[-1]
-        free[left[-1]] -= 1
+    sums, largest = Sums(free), capacity
+    while largest := sums.largest(largest):
+        chosen, gap = [largest], capacity - largest
+        free[largest] -= 1
         while gap:
-            fill = exact_fill(gap, free)
+            fill = sums.fill(gap)
             if fill is None:
-                below = np.flatnonzero(free[: gap + 1])
-                if not len(below):
+                best = sums.largest(gap)
+                if not best:
                     break
-                fill = [int(below[-1])]
+                fill = (best,)
             for s in fill:
                 free[s] -= 1
                 gap -= s
@@ -100,12 +163,12 @@ def plan(counts: dict[int, int], capacity: int) -> Plan:
         sizes, per = np.unique(chosen, return_counts=True)
         free[sizes] += per
         times = int((free[sizes] // per).min())
-        free[sizes] -= per * times
         offset = 0
-        for s, m in zip(sizes[::-1], per[::-1]):
+        for s, m in zip(sizes[::-1].tolist(), per[::-1].tolist()):
+            sums.take(s, m * times)
             rows.append((s, dealt[s], m, containers, offset))
             dealt[s] += m * times
-            offset += int(s) * int(m)
+            offset += s * m
         containers += times
     table = np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
     return Plan(*table.T, containers)
@@ -127,18 +190,21 @@ def pack(items: DataFrame, item: str, size: str, capacity: int) -> DataFrame:
     An item above the capacity is split into parts of the capacity, which fill a container each, and a rest that is
     packed like any other; no other item is split. ``start`` is the part's first token in its item, ``offset`` its place
     in the container. Containers are numbered from 0; parts that fill a container alone come last. An item of size null,
-    0 or less takes no space and goes to container 0. Items may be repeated rows: each is an item of its own. Null items
+    0 or less takes no space and goes to container 0. Beyond MOST_UNITS tokens of capacity, offsets are whole units. Items may be repeated rows: each is an item of its own. Null items
     are packed like others. No items, no rows.
     """
-    if not 0 < capacity <= MAX_CAPACITY:
-        raise ValueError(f"capacity must be between 1 and {MAX_CAPACITY}")
+    if capacity < 1:
+        raise ValueError("capacity must be at least 1")
     spark = items.sparkSession
     d = items.select(F.col(item).alias("id"), F.greatest(F.coalesce(F.col(size).cast("bigint"), F.lit(0)), F.lit(0)).alias("whole"))
     d = d.withColumn("parts", F.floor(F.col("whole") / capacity)).withColumn("size", F.col("whole") % capacity)
     rest = d.select("id", "size", F.col("parts").cast("int").alias("part"), (F.col("parts") * capacity).alias("start"))
     # The rest of an item that is a multiple of the capacity is nothing at all, unless the item itself is nothing.
+    unit = -(-capacity // MOST_UNITS)
+    whole = capacity // unit
+    rest = rest.withColumn("tokens", F.col("size")).withColumn("size", F.least(F.ceil(F.col("size") / unit), F.lit(whole)))
     counts = {r["size"]: r["n"] for r in rest.where("size > 0").groupBy("size").agg(F.count("*").alias("n")).collect()}
-    made = plan(counts, capacity)
+    made = plan(counts, whole)
     shared = spark.sparkContext.broadcast(made)
 
     kind = rest.schema["id"].dataType.simpleString()
@@ -155,9 +221,9 @@ def pack(items: DataFrame, item: str, size: str, capacity: int) -> DataFrame:
                 at = p.first[mid] <= r
                 lo, hi = np.where(at, mid, lo), np.where(at, hi, mid - 1)
             k = r - p.first[lo]
-            yield pd.DataFrame({"id": b["id"], "part": b["part"], "start": b["start"], "n_tokens": s, "container": p.container[lo] + k // p.per[lo], "offset": p.offset[lo] + k % p.per[lo] * s})
+            yield pd.DataFrame({"id": b["id"], "part": b["part"], "start": b["start"], "n_tokens": b["tokens"], "container": p.container[lo] + k // p.per[lo], "offset": (p.offset[lo] + k % p.per[lo] * s) * unit})
 
-    packed = _ranked(rest.where("size > 0"), ["id", "start"], sum(counts.values())).select("id", "part", "start", "size", "rank").mapInPandas(deal, schema)
+    packed = _ranked(rest.where("size > 0"), ["id", "start"], sum(counts.values())).select("id", "part", "start", "size", "tokens", "rank").mapInPandas(deal, schema)
     nothing = rest.where("size = 0 and start = 0").select("id", "part", "start", F.col("size").alias("n_tokens"), F.lit(0).cast("bigint").alias("container"), F.lit(0).cast("bigint").alias("offset"))
     # Full parts: the window without a key runs over the distinct numbers of parts, not over items. Numbered behind the planned containers by the rank of their item among items of its number of parts.
     full = d.where("parts > 0").select("id", F.col("parts").alias("size"))

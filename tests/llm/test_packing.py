@@ -1,10 +1,11 @@
 import random
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from talkweave.llm.packing import exact_fill, pack, pack_all, plan, usage
+from talkweave.llm.packing import MOST_UNITS, Sums, pack, pack_all, plan, usage
 from talkweave.llm.tokens import encoding, token_counts
 
 
@@ -78,7 +79,7 @@ def test_exact_fill_finds_one_whenever_there_is_one():
     for _ in range(400):
         free = np.array([0] + [rng.choice([0, 0, 0, 1, 2]) for _ in range(14)])
         gap = rng.randrange(1, 30)
-        got = exact_fill(gap, free.copy())
+        got = Sums(np.append(free, np.zeros(30, np.int64))).fill(gap)
         assert (got is not None) == brute_fill(gap, free)
         if got:
             assert sum(got) == gap and all(n <= free[s] for s, n in Counter(got).items())
@@ -92,6 +93,45 @@ def test_plan_of_natural_sizes_wastes_next_to_nothing():
     assert sizes.sum() / (p.n_containers * 2048) > 0.995
 
 
+def test_index_of_sums_stays_true_while_sizes_run_out():
+    rng = random.Random(4)
+    for _ in range(60):
+        free = np.array([0] + [rng.choice([0, 0, 1, 1, 2, 3]) for _ in range(24)] + [0] * 20)
+        sums = Sums(free)
+        while free.any():
+            gap = rng.randrange(1, 44)
+            got = sums.fill(gap)
+            assert (got is not None) == brute_fill(gap, free)
+            for s in got or [rng.choice(np.flatnonzero(free).tolist())]:
+                sums.take(int(s))
+
+
+def test_plan_for_long_containers_is_fast():
+    rng = np.random.default_rng(2)
+    sizes = np.clip(rng.lognormal(9, 1.2, 25000).astype(int), 1, 131072)
+    counts = dict(zip(*[x.tolist() for x in np.unique(sizes, return_counts=True)]))
+    began = time.perf_counter()
+    p = plan(counts, 131072)
+    assert len(counts) > 14000 and time.perf_counter() - began < 20 and sizes.sum() / (p.n_containers * 131072) > 0.995
+
+
+def test_capacity_beyond_the_units_of_the_plan(spark):
+    rng = random.Random(6)
+    capacity = 3 * MOST_UNITS + 2
+    items = [(i, rng.choice([0, capacity, capacity - 1, 2 * capacity + 5, rng.randrange(1, capacity)])) for i in range(60)]
+    rows = pack(spark.createDataFrame(items, "id bigint, n bigint"), "id", "n", capacity).collect()
+    assert sum(r.n_tokens for r in rows) == sum(n for _, n in items)
+    spans = {}
+    for r in rows:
+        spans.setdefault(r.container, []).append((r.offset, r.n_tokens))
+    for parts in spans.values():
+        at = 0
+        for offset, n in sorted(p for p in parts if p[1]):
+            assert offset >= at
+            at = offset + n
+        assert at <= capacity
+
+
 def test_usage(spark):
     df = spark.createDataFrame([(1, 6), (2, 4), (3, 9)], "id bigint, n bigint")
     got = {r.pack_id: (r.n_containers, r.unused) for r in usage(pack_all(df, "id", "n", {1: 10, 2: 4}), {1: 10, 2: 4}).collect()}
