@@ -6,14 +6,16 @@ The log-odds of ending against going on, interpolated from the shallow to the de
 threshold for the language, fitted on sentences that are known to be whole and on the same sentences cut at random.
 
 Counts are taken over every position of every text. Only contexts that some text ends in, or that a sample of whole
-sentences holds, are counted: a bit table of fixed size tells which those may be, so what is broadcast does not grow;
-a full table only lets more counts through. The counts are joined to the contexts by hash.
+sentences holds, are counted: a bit table with eight bits for each of them tells which those may be. It is broadcast up
+to MOST_BITS; contexts beyond it are counted in further rounds, each with a table of its own. The counts are joined to
+the contexts by hash.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,8 +28,13 @@ from talkweave.runtime import cut as checkpoint
 DEPTHS = (2, 4, 6, 8, 11, 15)
 #: Weight of the shallower context against the counts of a deeper one.
 WEIGHT = 3.0
-#: Bits of the table of wanted contexts (512 KB).
-BITS = 1 << 22
+#: Bits of the table of wanted contexts for each of them, at least (512 KB) and at most (128 MB) in one round, and in one
+#: part of the table.
+PER_CONTEXT, LEAST_BITS, MOST_BITS, PART_BITS = 8, 1 << 22, 1 << 30, 1 << 20
+#: Contexts of at most so many characters are those of many texts; their joins are salted.
+SHALLOW = 4
+#: Copies of the smaller side of a salted join.
+SALTS = 8
 #: Weight of all languages together in the threshold of one, in sentences.
 PRIOR = 300
 #: Characters of the end of a text in which its last words and marks are looked for; contexts are far shorter.
@@ -114,7 +121,8 @@ class Hasher:
     """Hashes of the last characters before positions of a text, at any depth, from one running sum.
 
     The sum of codes times powers of an odd number, modulo 2**64, gives a window's polynomial by a subtraction; the
-    power of its place is divided out by the inverse, so equal windows hash alike wherever they stand.
+    power of its place is divided out by the inverse, so equal windows hash alike wherever they stand. Of the two lowest
+    bits the first is left free, the second is set for windows of at most SHALLOW characters.
     """
 
     def __init__(self, codes: np.ndarray):
@@ -130,7 +138,7 @@ class Hasher:
             h ^= h >> np.uint64(32)
             h *= _P
             h ^= h >> np.uint64(29)
-        return (h & ~np.uint64(1)).view(np.int64)
+        return (h & ~np.uint64(3) | np.uint64(2 * (depth <= SHALLOW))).view(np.int64)
 
 
 def codes_of(text: str) -> np.ndarray:
@@ -139,26 +147,37 @@ def codes_of(text: str) -> np.ndarray:
 
 
 def hash_contexts(contexts) -> pd.DataFrame:
-    """(context, depth, h) of the last characters of each context at each depth that it has; depth is an index."""
+    """(context, depth, h, group) of the last characters of each context at each depth that it has; depth is an index.
+
+    ``group`` is the hash at the first depth, which all that end alike share.
+    """
     contexts = list(contexts)
     if not contexts:
-        return pd.DataFrame({"context": [], "depth": [], "h": []}).astype({"context": object, "depth": np.int32, "h": np.int64})
+        return pd.DataFrame({"context": [], "depth": [], "h": [], "group": []}).astype({"context": object, "depth": np.int32, "h": np.int64, "group": np.int64})
     sizes = np.array([len(c) for c in contexts])
     hasher, last = Hasher(codes_of("".join(contexts))), np.cumsum(sizes) - 1
-    parts = []
+    parts, group = [], np.zeros(len(contexts), np.int64)
     for i, d in enumerate(DEPTHS):
         long = np.flatnonzero(sizes >= d)
-        parts.append(pd.DataFrame({"context": np.array(contexts, dtype=object)[long], "depth": np.full(len(long), i, np.int32), "h": hasher.at(last[long], d)}))
+        h = hasher.at(last[long], d)
+        if not i:
+            group[long] = h
+        parts.append(pd.DataFrame({"context": np.array(contexts, dtype=object)[long], "depth": np.full(len(long), i, np.int32), "h": h, "group": group[long]}))
     return pd.concat(parts, ignore_index=True)
 
 
-def count_contexts(texts, wanted: np.ndarray) -> pd.DataFrame:
-    """(h, ends, n) over all positions of the texts whose contexts may be wanted.
+def round_of(group: np.ndarray, rounds: int) -> np.ndarray:
+    """The round in which contexts that end alike are counted."""
+    return (group >> 20) % rounds
+
+
+def count_contexts(texts, wanted: np.ndarray, rounds: int = 1, here: int = 0) -> pd.DataFrame:
+    """(h, ends, n) over all positions of the texts whose contexts may be wanted, of those counted in round ``here``.
 
     A position counts if a letter or digit stands there and something follows; it ends if a full stop, exclamation or
     question mark follows that is not inside a number or name, or a line break. Whoever holds a deep context holds its
     shallower ones, so only positions that were wanted at one depth are looked at in the next. The lowest bit of a hash
-    is given up to carry whether the position ends while hashes are sorted.
+    carries whether the position ends while hashes are sorted.
     """
     joined = "\x00".join([" " * max(DEPTHS), *texts, ""])
     raw = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -167,10 +186,13 @@ def count_contexts(texts, wanted: np.ndarray) -> pd.DataFrame:
     beyond = np.append(after[1:], np.uint32(0))
     ends = (((after == 46) | (after == 33) | (after == 63)) & ~_LETTERS[beyond] & (beyond != 46)) | (after == 10)
     position = np.flatnonzero(_LETTERS[raw] & (after != 0) & (after != 0x2026) & ~((after == 46) & (beyond == 46)))
-    found = []
+    found, bits = [], 8 * len(wanted)
     for d in DEPTHS:
         h = hasher.at(position, d)
-        bit = (h >> 1) & (BITS - 1)
+        if rounds > 1 and d == DEPTHS[0]:
+            mine = round_of(h, rounds) == here
+            position, h = position[mine], h[mine]
+        bit = (h >> 2) & (bits - 1)
         hit = (wanted[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
         position, h = position[hit], h[hit]
         found.append(h | ends[position])
@@ -214,30 +236,45 @@ def _whole_and_cut(batches):
         yield pd.DataFrame(out, columns=["lang", "context", "truly", "copies"])
 
 
-def _wanted(contexts: DataFrame) -> np.ndarray:
-    """The bit table of the contexts' hashes."""
-    bit = F.expr(f"shiftright(h, 1) & {BITS - 1}L")
-    words = contexts.groupBy(F.shiftright(bit, 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftright(h, 1) & 63 as int))")).alias("bits")).collect()
-    table = np.zeros(BITS // 64, dtype=np.int64)
-    for r in words:
-        table[r["w"]] = r["bits"]
-    return table.view(np.uint8)
+def _wanted(hashes: DataFrame, bits: int) -> np.ndarray:
+    """The bit table of distinct hashes, made in parts."""
+    size = min(PART_BITS, bits)
+
+    def part(pdf: pd.DataFrame) -> pd.DataFrame:
+        bit = (pdf["h"].to_numpy() >> 2) & (bits - 1)
+        flags = np.zeros(size, bool)
+        flags[bit & (size - 1)] = True
+        return pd.DataFrame({"part": [int(bit[0]) // size], "flags": [np.packbits(flags, bitorder="little").tobytes()]})
+
+    which = F.expr(f"shiftright(shiftright(h, 2) & {bits - 1}L, {size.bit_length() - 1})")
+    table = np.zeros(bits // 8, dtype=np.uint8)
+    for r in hashes.groupBy(which).applyInPandas(part, "part int, flags binary").collect():
+        table[r["part"] * (size // 8) : (r["part"] + 1) * (size // 8)] = np.frombuffer(r["flags"], np.uint8)
+    return table
+
+
+def _salted_left(left: DataFrame, right: DataFrame, key: str, by: str) -> DataFrame:
+    """A left join on a key that a third of all rows on the left may have, but only one row on the right."""
+    salt = F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")
+    spread = right.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.withColumn("_s", salt).join(spread, [key, "_s"], "left").drop("_s")
 
 
 def declared_language(col: str):
-    """The first two letters of a declared language, or 'xx'."""
-    code = F.lower(F.regexp_extract(F.coalesce(F.col(col), F.lit("")), r"^\s*(\p{L}{2})", 1))
+    """The first two letters from a to z of a declared language, or 'xx': at most 677 values."""
+    code = F.lower(F.regexp_extract(F.coalesce(F.col(col), F.lit("")), r"^\s*([A-Za-z]{2})", 1))
     return F.when(code == "", "xx").otherwise(code)
 
 
-def score_endings(docs: DataFrame, doc_id: str, text: str, lang: str, sample_texts: int | None = None) -> DataFrame:
-    """One row per document: id, state, log_odds of ending (null for 'whole' and 'empty'), threshold, is_cut.
+def score_endings(docs: DataFrame, doc_id: str, text: str, lang: str, sample_texts: int | None = None, most_bits: int = MOST_BITS) -> DataFrame:
+    """One row per document: id, state, log_odds of ending (null for those that are whole, empty or listings), threshold, is_cut.
 
     A document is cut if its last line is no listing and the log-odds fall below its language's threshold; lines inside
     texts that begin alike and end without a sentence's mark raise them. Null and empty texts are 'empty' and not cut.
     Repeated texts do not vouch for each other: an end counts once however many copies of the text there are, and not for
     itself, and last lines tell nothing of a kind of lines. Thresholds are fitted on all whole sentences, or on at most
-    ``sample_texts`` of each language; their own occurrences, copies included, are taken off the counts as well. Ids should be unique; repeated rows give repeated results. Other columns are
+    ``sample_texts`` of each language; their own occurrences, copies included, are taken off the counts as well. Contexts that do not fit a
+    table of ``most_bits`` are counted in several rounds over the texts, with the same result. Ids should be unique; repeated rows give repeated results. Other columns are
     ignored. An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -265,7 +302,7 @@ def score_endings(docs: DataFrame, doc_id: str, text: str, lang: str, sample_tex
     kind = ends.schema["id"].dataType.simpleString()
     seen = checkpoint(ends.mapInPandas(look, f"id {kind}, lang string, size int, state string, context string, tail string, listing boolean, line_key string"))
 
-    open_ends = seen.where("state in ('open', 'mark', 'comma') and not listing").select("context", "lang").distinct()
+    open_ends = seen.where(_may_be_cut()).select("context", "lang").distinct()
     known = seen.where("state = 'whole' and not listing").groupBy("context", "tail").agg(F.count("*").alias("copies"), F.collect_set("lang").alias("langs")).select(F.explode("langs").alias("lang"), "context", "tail", "copies")
     if sample_texts is not None:
         within = Window.partitionBy("lang", F.pmod(F.xxhash64("context"), F.lit(32))).orderBy(F.xxhash64("context"), "context", "tail")
@@ -275,48 +312,71 @@ def score_endings(docs: DataFrame, doc_id: str, text: str, lang: str, sample_tex
 
     asked = open_ends.select("context").unionByName(sample.select("context")).distinct()
     hashed = checkpoint(_with_hashes(asked))
-    wanted = spark.sparkContext.broadcast(_wanted(hashed))
-
-    def count(batches):
-        held, size = [], 0
-        for b in batches:
-            part, chars = [], 0
-            for t in b["text"]:
-                if t:
-                    part.append(t)
-                    chars += len(t)
-                if chars > SLICE:
-                    held.append(count_contexts(part, wanted.value))
-                    part, chars = [], 0
-            if part:
-                held.append(count_contexts(part, wanted.value))
-            size = sum(map(len, held))
-            if size > 1_000_000:
-                yield pd.concat(held)
-                held = []
-        if held:
-            x = pd.concat(held)
-            yield _summed(x["h"].to_numpy(), x["ends"].to_numpy(), x["n"].to_numpy())
-
-    inside = d.select("text").mapInPandas(count, "h bigint, ends bigint, n bigint")
+    hashes = hashed.select("h", "group").distinct()
+    size = hashes.count()
+    bits = min(most_bits, max(LEAST_BITS, 1 << (PER_CONTEXT * size - 1).bit_length()))
+    rounds = max(1, -(-PER_CONTEXT * size // bits))
+
+    def counted(here: int) -> DataFrame:
+        mine = hashes if rounds == 1 else hashes.where(F.expr(f"pmod(shiftright(group, 20), {rounds}L) = {here}"))
+        wanted = spark.sparkContext.broadcast(_wanted(mine.select("h").distinct(), bits))
+
+        def count(batches):
+            held, n = [], 0
+            for b in batches:
+                part, chars = [], 0
+                for t in [*b["text"], None]:
+                    if t:
+                        part.append(t)
+                        chars += len(t)
+                    if part and (chars > SLICE or t is None):
+                        held.append(count_contexts(part, wanted.value, rounds, here))
+                        n += len(held[-1])
+                        part, chars = [], 0
+                if n > 1_000_000:
+                    held = [_added(held)]
+                    if len(held[0]) > 500_000:  # adding up no longer helps
+                        yield held.pop()
+                    n = sum(map(len, held))
+            if held:
+                yield _added(held)
+
+        found = d.select("text").mapInPandas(count, "h bigint, ends bigint, n bigint")
+        return found if rounds == 1 else checkpoint(found.groupBy("h").agg(F.sum("ends").alias("ends"), F.sum("n").alias("n")))
+
+    inside = reduce(DataFrame.unionByName, [counted(r) for r in range(rounds)])
     # Ends of texts without a closing mark; those of copies, alike to 80 characters, count once.
     tails = seen.where("state in ('open', 'mark')").select("context", F.right("tail", F.lit(80)).alias("tail")).distinct().groupBy("context").agg(F.count("*").alias("times"))
     outside = _with_hashes(tails.select("context")).join(tails, "context").select("h", F.col("times").alias("ends"), F.col("times").alias("n"))
     counts = inside.unionByName(outside).groupBy("h").agg(F.sum("ends").alias("ends"), F.sum("n").alias("n"))
-    # A shallow context may be that of a third of all texts: both sides are salted.
-    parts = 16
-    spread = counts.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    met = hashed.withColumn("s", F.pmod(F.xxhash64("context"), F.lit(parts)).cast("int")).join(spread, ["h", "s"], "left")
+    # A shallow context may be that of a third of all texts: those few, marked by their second bit, are salted.
+    shallow = F.col("h").bitwiseAND(2) == 2
+    spread = counts.withColumn("s", F.explode(F.sequence(F.lit(0), F.when(shallow, SALTS - 1).otherwise(0))))
+    met = hashed.withColumn("s", F.when(shallow, F.pmod(F.xxhash64("context"), F.lit(SALTS))).otherwise(0).cast("int")).join(spread, ["h", "s"], "left")
     per = checkpoint(met.groupBy("context").agg(F.array_sort(F.collect_list(F.struct("depth", F.coalesce("ends", F.lit(0)).alias("ends"), F.coalesce("n", F.lit(0)).alias("n")))).alias("x")))
     own = F.when(F.col("own"), 1).otherwise(0)
     odds = per.join(tails.select("context", F.lit(True).alias("own")), "context", "left").select("context", _log_odds(own, own).alias("log_odds"))
 
     limits = checkpoint(_thresholds(sample.join(per, "context").select("lang", "truly", _log_odds(F.when(F.col("truly"), F.col("copies")).otherwise(0), F.col("copies")).alias("log_odds"))))
-    judged = seen.join(odds, "context", "left").join(F.broadcast(limits), "lang", "left").join(_line_kinds(d), "line_key", "left").join(_field_limits(seen), "size", "left")
+    # Only ends that may be cut are judged. Keys of theirs may be those of a third of all rows, and many have no kind.
+    judged = seen.where(_may_be_cut()).select("id", "lang", "size", "state", "context", "line_key")
+    kinds = _line_kinds(d, judged.select("line_key").where("line_key is not null").distinct())
+    judged = _salted_left(judged.where("line_key is not null"), kinds, "line_key", "id").unionByName(judged.where("line_key is null").withColumn("kind", F.lit(None).cast("double")))
+    judged = _salted_left(_salted_left(judged, odds, "context", "id"), _field_limits(seen), "size", "id").join(F.broadcast(limits), "lang", "left")
     threshold = F.coalesce("threshold", F.lit(limits.where("lang = ''").first()["threshold"]))
     odds_there = F.col("log_odds") - F.when(F.col("state") == "comma", COMMA).otherwise(0.0) - F.when(F.col("at_limit") & (F.col("state") != "mark"), AT_LIMIT).otherwise(0.0) + F.coalesce("kind", F.lit(0.0))
-    asked_for = F.col("state").isin("open", "mark", "comma")
-    return judged.select(F.col("id").alias(doc_id), "state", F.when(asked_for, odds_there).alias("log_odds"), threshold.alias("threshold"), (asked_for & ~F.col("listing") & F.coalesce(odds_there < threshold, F.lit(False))).alias("is_cut"))
+    judged = judged.select("id", "state", odds_there.alias("log_odds"), threshold.alias("threshold"), F.coalesce(odds_there < threshold, F.lit(False)).alias("is_cut"))
+    others = seen.where(~_may_be_cut()).join(F.broadcast(limits), "lang", "left").select("id", "state", F.lit(None).cast("double").alias("log_odds"), threshold.alias("threshold"), F.lit(False).alias("is_cut"))
+    return judged.unionByName(others).withColumnRenamed("id", doc_id)
+
+
+def _may_be_cut():
+    return F.col("state").isin("open", "mark", "comma") & ~F.col("listing")
+
+
+def _added(held: list[pd.DataFrame]) -> pd.DataFrame:
+    x = pd.concat(held)
+    return _summed(x["h"].to_numpy(), x["ends"].to_numpy(), x["n"].to_numpy())
 
 
 def _field_limits(seen: DataFrame) -> DataFrame:
@@ -327,8 +387,8 @@ def _field_limits(seen: DataFrame) -> DataFrame:
 
 
 def _with_hashes(contexts: DataFrame) -> DataFrame:
-    """(context, depth, h) for distinct contexts."""
-    return contexts.mapInPandas(lambda batches: (hash_contexts(b["context"]) for b in batches), "context string, depth int, h bigint")
+    """(context, depth, h, group) for distinct contexts."""
+    return contexts.mapInPandas(lambda batches: (hash_contexts(b["context"]) for b in batches), "context string, depth int, h bigint, group bigint")
 
 
 def _log_odds(own_ends, own_n):
@@ -358,8 +418,8 @@ def _thresholds(scored: DataFrame) -> DataFrame:
     return best.unionByName(default.join(best.where("lang = ''").select("lang"), "lang", "left_anti"))
 
 
-def _line_kinds(d: DataFrame) -> DataFrame:
-    """What lines with one beginning add to the log-odds of ending: the log of how many end without a sentence's mark to one with it.
+def _line_kinds(d: DataFrame, keys: DataFrame) -> DataFrame:
+    """What lines with one beginning, one of ``keys``, add to the log-odds of ending: the log of how many end without a sentence's mark to one with it.
 
     Lines inside texts are complete; last lines may be cut, so they are left out. Each text, however many copies of it
     there are, counts once for a kind, by the share of its lines of that kind that end as sentences do. One text of a kind says nearly as much as many, as lines
@@ -368,7 +428,7 @@ def _line_kinds(d: DataFrame) -> DataFrame:
     lines = F.split(F.rtrim("text", F.lit(_BLANKS)), "\n")
     inside = d.select(F.xxhash64("text").alias("t"), F.explode(F.slice(lines, F.lit(1), F.size(lines) - 1)).alias("line"))
     keyed = inside.select("t", F.regexp_replace(F.left("line", F.lit(LINE_KEY)), r"\d", "0").alias("line_key"), F.right(F.rtrim("line"), F.lit(1)).isin(".", "!", "?").cast("int").alias("closed"))
-    kinds = keyed.groupBy("line_key", "t").agg(F.avg("closed").alias("closed")).groupBy("line_key").agg(F.sum("closed").alias("closed"), F.count("*").alias("texts"))
+    kinds = keyed.join(keys, "line_key", "left_semi").groupBy("line_key", "t").agg(F.avg("closed").alias("closed")).groupBy("line_key").agg(F.sum("closed").alias("closed"), F.count("*").alias("texts"))
     lean = F.ln((F.col("texts") - F.col("closed") + KIND_PRIOR) / (F.col("closed") + KIND_PRIOR))
     return kinds.select("line_key", F.least(F.greatest(lean, F.lit(0.0)), F.lit(KIND)).alias("kind"))
 

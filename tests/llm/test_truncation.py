@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from talkweave.llm import truncation as T
 
@@ -76,7 +77,7 @@ def test_listings():
 
 def test_counts_equal_a_plain_count():
     texts = ["abc 12. abd\nabc", "abc. 3.5 abc abd! x", "", "A longer text, with more than fifteen characters. And so on"]
-    wanted = np.full(T.BITS // 8, 255, np.uint8)
+    wanted = np.full(T.LEAST_BITS // 8, 255, np.uint8)
     got = {h: (e, n) for h, e, n in T.count_contexts(texts, wanted).itertuples(index=False)}
     expected = {}
     for t in texts:
@@ -102,7 +103,7 @@ def test_copies_of_a_cut_text_do_not_vouch_for_it(spark, corpus):
 def test_line_kinds_take_short_lines_from_inside_texts_and_few_texts_count(spark):
     short = [(f"Norvale {i} lies at the sea.\nVolunteer",) for i in range(9)]
     rows = [*short, ("Read more\nThe end",), ("Read more\nThe end",), ("Contact us\nOne.",), ("Volunteers met.\nVolunteers left.\nVolunteers",), (None,), ("",)]
-    got = {r.line_key: r.kind for r in T._line_kinds(spark.createDataFrame(rows, "text string")).collect()}
+    got = {r.line_key: r.kind for r in T._line_kinds(spark.createDataFrame(rows, "text string"), spark.createDataFrame([("Volunteer",), ("Volunteers",), ("Read more",), ("Contact us",), ("The end",)], "line_key string")).collect()}
     assert "Volunteer" not in got and "The end" not in got and got["Volunteers"] == 0.0
     assert 4 < got["Read more"] == got["Contact us"] <= T.KIND
 
@@ -125,3 +126,30 @@ def test_sampled_sentences_do_not_vouch_for_themselves(spark, corpus):
     # with their own ends counted, whole sentences would seem sure to end, and the threshold would lie far higher
     assert len(every) == 1 and every[0].threshold < -4
     assert T.score_endings(docs, "doc_id", "text", "lang", 50).count() == docs.count()
+
+
+def test_several_rounds_give_the_same(spark, corpus):
+    docs = spark.createDataFrame(corpus, SCHEMA)
+    score = lambda **k: sorted(tuple(r) for r in T.score_endings(docs, "doc_id", "text", "lang", **k).select("doc_id", "state", F.round("log_odds", 9), "is_cut").collect())
+    assert score() == score(most_bits=1 << 14)
+
+
+def test_the_table_of_contexts_holds_each(spark):
+    hashed = T._with_hashes(spark.createDataFrame([("Norvale lies at",), ("so",), ("x",)], "context string"))
+    table = T._wanted(hashed.select("h").distinct(), 1 << 22)
+    h = np.array([r.h for r in hashed.collect()])
+    bit = (h >> 2) & ((1 << 22) - 1)
+    assert ((table[bit >> 3] >> (bit & 7)) & 1).all() and np.unpackbits(table).sum() == len(set(bit.tolist())) == 7
+    assert {r.group for r in hashed.where("depth = 3").collect()} <= {r.h for r in hashed.where("depth = 0").collect()}
+
+
+def test_counts_of_texts_all_different_are_smaller_than_the_texts():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("bcdfghklmnprstvwz") + rng.choice("aeiou") for _ in range(rng.randrange(1, 5)))
+    texts = [" ".join(word() for _ in range(250)) + "." for _ in range(600)]
+    ends = T.hash_contexts([t.rstrip(".")[-15:] for t in texts] + [t[200 : 215 + i % 9] for i, t in enumerate(texts)])
+    bits = max(T.LEAST_BITS, 1 << (T.PER_CONTEXT * len(ends) - 1).bit_length())
+    table = np.zeros(bits, bool)
+    table[(ends["h"].to_numpy() >> 2) & (bits - 1)] = True
+    counts = T.count_contexts(texts, np.packbits(table, bitorder="little"))
+    assert 24 * len(counts) < sum(map(len, texts))
