@@ -291,12 +291,16 @@ def detect(rows: DataFrame, keys: list[str], text: str, label: str | None = None
     return source.mapInPandas(run, schema)
 
 
-def relabelled(stretches: DataFrame, keys: list[str], least_words: int = LEAST_WORDS) -> DataFrame:
-    """One row per record with words: main language by words, its mean confidence and all languages present."""
-    present = F.array_sort(F.collect_set(F.when((F.col("n_words") >= least_words) & (F.col("lang") != UNKNOWN), F.col("lang"))))
-    per = stretches.groupBy(*keys, "lang").agg(F.sum("n_words").alias("n"), (F.sum(F.col("confidence") * F.col("n_words")) / F.sum("n_words")).alias("c"))
-    main = per.groupBy(*keys).agg(F.max(F.struct(F.col("n"), F.col("c"), F.col("lang"))).alias("m"))
-    return main.join(stretches.groupBy(*keys).agg(present.alias("languages")), keys).select(*keys, F.col("m.lang").alias("lang"), F.col("m.c").alias("confidence"), "languages")
+def relabelled(rows: DataFrame, stretches: DataFrame, keys: list[str], least_words: int = LEAST_WORDS) -> DataFrame:
+    """One row per record of ``rows``: main language by words, its mean confidence and all languages present.
+
+    Records without words (null, blank, marks or remarks only) have language 'und' with confidence 0 and none present.
+    """
+    there = (F.col("n_words") >= least_words) & (F.col("lang") != UNKNOWN)
+    per = stretches.groupBy(*keys, "lang").agg(F.sum("n_words").alias("n"), (F.sum(F.col("confidence") * F.col("n_words")) / F.sum("n_words")).alias("c"), F.max(there).alias("there"))
+    every = rows.select(*keys, F.lit(UNKNOWN).alias("lang"), F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("c"), F.lit(False).alias("there")).distinct()
+    main = per.unionByName(every).groupBy(*keys).agg(F.max(F.struct("n", "c", "lang")).alias("m"), F.array_sort(F.collect_set(F.when(F.col("there"), F.col("lang")))).alias("languages"))
+    return main.select(*keys, F.col("m.lang").alias("lang"), F.col("m.c").alias("confidence"), "languages")
 
 
 def wrong_labels(stretches: DataFrame, keys: list[str], least_words: int = LEAST_WORDS) -> DataFrame:

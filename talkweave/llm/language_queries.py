@@ -19,8 +19,8 @@ def p1_found(spark, folder):
 
 
 def p1_rows(spark, folder):
-    """Main language, its confidence and all languages present, for each row with words."""
-    return relabelled(_stretches(spark, folder), _KEYS)
+    """Main language, its confidence and all languages present, for each row; 'und' for rows without words."""
+    return relabelled(table(spark, folder, "transcript"), _stretches(spark, folder), _KEYS)
 
 
 def p1_stretches(spark, folder):

@@ -108,8 +108,11 @@ def test_cases_over_a_table(spark, model):
 def test_empty_table_and_training_from_the_table(spark):
     keys = ["meeting_id", "pos"]
     assert L.detect(spark.createDataFrame([], SCHEMA), keys, "text", "language").count() == 0
-    rows = L.relabelled(L.detect(spark.createDataFrame(CASES, SCHEMA), keys, "text", "language"), keys).where("pos = 4").collect()
-    assert rows[0].languages == ["en", "fr"] and rows[0].lang in ("en", "fr") and rows[0].confidence > 0.9
+    df = spark.createDataFrame(CASES, SCHEMA)
+    rows = {(r.meeting_id, r.pos): r for r in L.relabelled(df, L.detect(df, keys, "text", "language"), keys).collect()}
+    assert len(rows) == 10 and set(rows) == {(c[0], c[1]) for c in CASES}
+    assert rows["m", 4].languages == ["en", "fr"] and rows["m", 4].lang in ("en", "fr") and rows["m", 4].confidence > 0.9
+    assert all((rows["m", i].lang, rows["m", i].confidence, rows["m", i].languages) == ("und", 0.0, []) for i in (7, 8)) and rows[None, None].lang == "de"
 
 
 def test_label_notations(spark):
@@ -125,3 +128,9 @@ def test_clauses_in_brackets_are_scored_and_remarks_are_not():
     assert words("Yes [c'est la vie ici] no") == ["yes", "c'est", "la", "vie", "ici", "no"]
     assert words("Yes (" + "applause " * 3 + " " * 60 + ") no") == ["yes", "no"]
     assert len(words("(" * 50_000 + "yes")) == 1
+
+
+def test_a_clause_of_six_words_in_brackets_makes_its_language_present(model):
+    for left, right, clause in (("(", ")", "das ist ein ganz anderer Satz"), ("[", "]", "das ist ein ganz anderer Satz, den wir heute noch einmal in aller Ruhe besprechen wollen"), ("(", ")", "das ist hier heute wirklich so")):
+        s = model.stretches([f"{EN} {left}{clause}{right} {EN}"])
+        assert "de" in set(s[s.words >= L.LEAST_WORDS].lang)
