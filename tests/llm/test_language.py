@@ -131,6 +131,7 @@ def test_clauses_in_brackets_are_scored_and_remarks_are_not():
 
 
 def test_a_clause_of_six_words_in_brackets_makes_its_language_present(model):
-    for left, right, clause in (("(", ")", "das ist ein ganz anderer Satz"), ("[", "]", "das ist ein ganz anderer Satz, den wir heute noch einmal in aller Ruhe besprechen wollen"), ("(", ")", "das ist hier heute wirklich so")):
+    six = " ".join(DE.rstrip(".").split()[:6])
+    for left, right, clause in (("(", ")", six), ("[", "]", six), ("(", ")", DE), ("[", "]", f"{DE} {DE}")):
         s = model.stretches([f"{EN} {left}{clause}{right} {EN}"])
         assert "de" in set(s[s.words >= L.LEAST_WORDS].lang)
