@@ -6,13 +6,16 @@ nested loop or a single task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkweave.operators.blocks import BLOCK_MS, FAN, exclusive_max
 
-#: Width of a bucket of the range joins. Intervals are copied into every bucket that they touch.
-BUCKET_MS = 60_000
+#: Width of a bucket of the range joins for short intervals, how much wider the buckets of the next level are, and how
+#: many levels there are: the last one's are wider than any interval in milliseconds.
+BUCKET_MS, LEVEL_FACTOR, LEVELS = 60_000, 32, 8
 
 
 def asof_backward(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, right_order: list[str], payload: list[str], name: str = "active", block_ms: int = BLOCK_MS, fan: int = FAN) -> DataFrame:
@@ -38,22 +41,41 @@ def asof_backward(left: DataFrame, right: DataFrame, key: str, left_time: str, r
     return matched.unionByName(sides.where(~usable).select("_l.*", F.lit(None).cast(matched.schema[name].dataType).alias(name)))
 
 
-def _buckets(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
-    return df.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.greatest(F.col(start), F.col(end)) / width))))
+def _level(start: str, end: str, width: int):
+    """The level of an interval: the first whose buckets are at least as wide as it is long."""
+    length = F.col(end) - F.col(start)
+    return reduce(lambda at, k: F.when(length > width * LEVEL_FACTOR**k, k + 1).otherwise(at), range(LEVELS - 1), F.lit(0)).cast("int")
+
+
+def _in_buckets(df: DataFrame, start: str, end: str, width: int, others: DataFrame) -> DataFrame:
+    """Copies of the rows for each bucket that they touch at their own level and at the higher ones that ``others`` have.
+
+    A row touches two buckets of a level at most. Whether it is ``_home`` there tells pairs that meet at the level of
+    one of them from those that would meet again higher up.
+    """
+    d = df.withColumn("_own", _level(start, end, width))
+    levels = F.array_intersect(F.sequence(F.col("_own"), F.lit(LEVELS - 1)), F.array_union(F.array("_own"), others.scalar()))
+    d = d.withColumn("_level", F.explode(levels)).withColumn("_width", F.element_at(F.array(*[F.lit(width * LEVEL_FACTOR**k) for k in range(LEVELS)]), F.col("_level") + 1))
+    return d.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(start) / F.col("_width")), F.floor(F.col(end) / F.col("_width"))))).withColumn("_home", F.col("_level") == F.col("_own")).drop("_own")
 
 
 def overlap_join(left: DataFrame, right: DataFrame, key: str, left_span: tuple[str, str], right_span: tuple[str, str], touching: bool = False, width: int = BUCKET_MS) -> DataFrame:
     """All pairs of rows of one key whose intervals overlap (or only touch, with ``touching``), each pair once.
 
-    Spans are names of start and end columns in whole milliseconds with end >= start, distinct between the two sides,
-    as must be all columns but the key. Both sides are copied into the buckets that they touch; a pair is kept in the
-    bucket where its overlap begins.
+    Spans are names of start and end columns in whole milliseconds, distinct between the two sides, as must be all
+    columns but the key; an end before its start counts as the start. Both sides are copied into the buckets that they
+    touch, long intervals into wide ones, so that an interval has a handful of copies whatever its length. A pair meets
+    at the level of the longer one and is kept in the bucket where its overlap begins.
     """
     (ls, le), (rs, re_) = left_span, right_span
-    a, b = _buckets(left.where(F.col(key).isNotNull()), ls, le, width), _buckets(right.where(F.col(key).isNotNull()), rs, re_, width)
-    first = F.floor(F.greatest(F.col(ls), F.col(rs)) / width)
-    meets = (F.col(ls) <= F.col(re_)) & (F.col(rs) <= F.col(le)) if touching else (F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le))
-    return a.join(b, [key, "_bucket"]).where(meets & (F.col("_bucket") == first)).drop("_bucket")
+    usable = lambda d, s, e: d.where(F.col(key).isNotNull() & F.col(s).isNotNull() & F.col(e).isNotNull()).withColumn("_end", F.greatest(F.col(s), F.col(e)))
+    a, b = usable(left, ls, le).withColumnRenamed("_end", "_le"), usable(right, rs, re_).withColumnRenamed("_end", "_re")
+    found = lambda d, s, e: d.select(F.collect_set(_level(s, e, width)))
+    a, b = _in_buckets(a, ls, "_le", width, found(b, rs, "_re")), _in_buckets(b, rs, "_re", width, found(a, ls, "_le"))
+    a, b = a.withColumnRenamed("_home", "_lh"), b.withColumnRenamed("_home", "_rh").drop("_width")
+    first = F.floor(F.greatest(F.col(ls), F.col(rs)) / F.col("_width"))
+    meets = (F.col(ls) <= F.col("_re")) & (F.col(rs) <= F.col("_le")) if touching else (F.col(ls) < F.col("_re")) & (F.col(rs) < F.col("_le"))
+    return a.join(b, [key, "_level", "_bucket"]).where(meets & (F.col("_lh") | F.col("_rh")) & (F.col("_bucket") == first)).drop("_level", "_bucket", "_width", "_lh", "_rh", "_le", "_re")
 
 
 def best_overlap(units: DataFrame, turns: DataFrame, key: str, unit_id: list[str], unit_span: tuple[str, str], turn_id: str, turn_span: tuple[str, str], width: int = BUCKET_MS) -> DataFrame:

@@ -11,7 +11,7 @@ from talkweave.functions import text as X
 from talkweave.operators.aggregate import majority_first, one_name_per_key, weighted_share_argmax
 from talkweave.operators.blocks import running_count, with_neighbour
 from talkweave.operators.cluster import canonical_names, leaders
-from talkweave.operators.interval import asof_backward, best_overlap, overlap_join
+from talkweave.operators.interval import _in_buckets, asof_backward, best_overlap, overlap_join
 from talkweave.operators.sequence import capped_runs, keyframes, next_start
 from talkweave.plans import fusion, naming, speech
 
@@ -168,6 +168,20 @@ def test_overlap_join_touching(spark):
     assert overlap_join(a, b, "k", ("s", "e"), ("s2", "e2"), touching=True, width=7).count() == 2
 
 
+def test_overlap_join_equals_brute_force_at_all_lengths_and_copies_little(spark):
+    rng = random.Random(9)
+    lengths = [0, 1, 50, 2000, 70_000, 3_000_000, 200_000_000, 10**12]
+    make = lambda n: [(rng.choice("ab"), i, s, s + rng.choice(lengths)) for i in range(n) for s in [rng.randrange(4_000_000)]]
+    left, right = make(120), make(90) + [("a", 500, -(10**11), 10**12)]
+    a, b = spark.createDataFrame(left, "k string, i bigint, s bigint, e bigint"), spark.createDataFrame(right, "k string, j bigint, s2 bigint, e2 bigint")
+    for touching in (False, True):
+        got = sorted((r.i, r.j) for r in overlap_join(a, b, "k", ("s", "e"), ("s2", "e2"), touching).collect())
+        meets = lambda x, y: (x[2] <= y[3] and y[2] <= x[3]) if touching else (x[2] < y[3] and y[2] < x[3])
+        assert got == sorted((x[1], y[1]) for x in left for y in right if x[0] == y[0] and meets(x, y))
+    copies = _in_buckets(b, "s2", "e2", 60_000, b.select(F.array(*[F.lit(k) for k in range(8)])).limit(1)).groupBy("j").count().agg(F.max("count")).first()[0]
+    assert copies <= 16 and overlap_join(a, b.limit(0), "k", ("s", "e"), ("s2", "e2")).count() == 0
+
+
 PAGE = f"page array<{ocr.LINE}>"
 
 
