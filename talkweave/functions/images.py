@@ -68,6 +68,11 @@ def regional_difference(a: np.ndarray, b: np.ndarray, grid: int = 3) -> float:
     return max(float(delta[r0:r1, c0:c1].mean()) for r0, r1 in zip(rows, rows[1:]) for c0, c1 in zip(cols, cols[1:])) / 255.0
 
 
+def shows_change(last: np.ndarray, image: np.ndarray, threshold: float, regional_factor: float = 1.5, grid: int = 3) -> bool:
+    """Whether a grey image differs from the last one kept: as a whole, or in one cell of a grid by ``regional_factor`` as much."""
+    return whole_difference(last, image) > threshold or regional_difference(last, image, grid) > regional_factor * threshold
+
+
 def hsv(frame: np.ndarray) -> np.ndarray:
     """Hue 0-179, saturation and value 0-255 of a BGR frame."""
     b, g, r = (frame[..., i].astype(np.float64) for i in range(3))
@@ -96,38 +101,53 @@ def close_gaps(mask: np.ndarray, size: int) -> np.ndarray:
     return _slide(_slide(mask, size, np.any, False), size, np.all, True)
 
 
+def _runs(mask: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of set pixels as (row, first, end) and the part that each belongs to, numbered by their first run.
+
+    Runs of neighbouring rows belong together if they overlap, widened by ``reach`` pixels: 1 joins diagonals, 0 does not.
+    """
+    edges = np.diff(np.pad(mask, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    row, first = np.nonzero(edges == 1)
+    end = np.nonzero(edges == -1)[1]
+    part = np.arange(len(row))
+
+    def find(k: int) -> int:
+        while part[k] != k:
+            part[k] = part[part[k]]
+            k = part[k]
+        return k
+
+    begin = np.searchsorted(row, np.arange(mask.shape[0] + 1))
+    for y in range(1, mask.shape[0]):
+        a, b = begin[y - 1], begin[y]
+        while a < begin[y] and b < begin[y + 1]:
+            if first[a] < end[b] + reach and first[b] < end[a] + reach:
+                one, other = find(a), find(b)
+                part[max(one, other)] = min(one, other)
+            if end[a] < end[b]:
+                a += 1
+            else:
+                b += 1
+    return row, first, end, np.array([find(k) for k in range(len(row))], dtype=np.int64)
+
+
 def outer_boxes(mask: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Bounding boxes (x, y, width, height) of the connected parts of a mask, diagonals included, none inside another part's hole."""
-    open_air = np.pad(np.zeros(mask.shape, bool), 1, constant_values=True)
-    free = ~np.pad(mask, 1)
-    while True:  # what the space around the frame reaches without crossing the mask
-        spread = open_air.copy()
-        for axis in (0, 1):
-            for step in (1, -1):
-                spread |= np.roll(open_air, step, axis)
-        spread &= free
-        if (spread == open_air).all():
-            break
-        open_air = spread
-    label = np.zeros(mask.shape, np.int32)
-    boxes, n = [], 0
-    for y, x in zip(*np.nonzero(mask)):
-        if label[y, x]:
-            continue
-        n += 1
-        stack, x0, x1, y0, y1, outside = [(y, x)], x, x, y, y, False
-        label[y, x] = n
-        while stack:
-            cy, cx = stack.pop()
-            x0, x1, y0, y1 = min(x0, cx), max(x1, cx), min(y0, cy), max(y1, cy)
-            outside |= bool(open_air[cy, cx + 1] or open_air[cy + 2, cx + 1] or open_air[cy + 1, cx] or open_air[cy + 1, cx + 2])
-            for ny in range(max(0, cy - 1), min(mask.shape[0], cy + 2)):
-                for nx in range(max(0, cx - 1), min(mask.shape[1], cx + 2)):
-                    if mask[ny, nx] and not label[ny, nx]:
-                        label[ny, nx] = n
-                        stack.append((ny, nx))
-        if outside:
-            boxes.append((int(x0), int(y0), int(x1 - x0 + 1), int(y1 - y0 + 1)))
+    wide = np.pad(mask, 1)
+    row, first, end, part = _runs(~wide, 0)
+    around = np.zeros(wide.shape, bool)  # what the space around the frame reaches without crossing the mask
+    for y, a, b in zip(row[part == 0], first[part == 0], end[part == 0]):
+        around[y, a:b] = True
+    beside = np.zeros(wide.shape, bool)
+    for axis in (0, 1):
+        for step in (1, -1):
+            beside |= np.roll(around, step, axis)
+    row, first, end, part = _runs(wide, 1)
+    boxes = []
+    for p in np.unique(part):
+        y, a, b = row[part == p], first[part == p], end[part == p]
+        if any(beside[r, c:d].any() for r, c, d in zip(y, a, b)):
+            boxes.append((int(a.min()) - 1, int(y.min()) - 1, int(b.max() - a.min()), int(y.max() - y.min() + 1)))
     return boxes
 
 

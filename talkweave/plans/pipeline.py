@@ -10,25 +10,23 @@ import os
 from dataclasses import dataclass, field
 from typing import Any
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkweave import seams
-from talkweave.functions import ocr
-from talkweave.functions.images import badge_box, badge_label_box, crop, grey_thumbnail, highlighted_tile, name_label_box, upscale_for_reading
-from talkweave.functions.text import vision_answer
-from talkweave.operators.sequence import keyframes
+from talkweave.functions import ocr, png
+from talkweave.functions.images import badge_box, badge_label_box, crop, highlighted_tile, name_label_box, upscale_for_reading
+from talkweave.functions.text import round3, vision_answer
 from talkweave.plans import fusion, naming, speech
+from talkweave.runtime import cut
 from talkweave.settings import Settings
 from talkweave.sources import artifacts as A
-from talkweave.sources import media
+from talkweave.sources import files, media
 
 log = logging.getLogger(__name__)
 
 #: Stages in order with the artifact that each writes.
 STAGES = {"ingest": "recordings", "scene-detect": "scenes", "ocr": "frames", "visual-speaker": "visual_speaker_events", "vad": "vad_segments", "diarize": "speaker_turns", "asr": "asr_segments", "merge": "transcript", "speaker-name": "speaker_names", "fuse": "timeline", "llm": "insights"}
-THUMBNAIL = (180, 320)
 
 
 @dataclass
@@ -55,7 +53,7 @@ class Run:
     """One meeting's folder. ``explicit`` maps artifact names to paths used instead of the usual ones."""
 
     def __init__(self, spark: SparkSession, folder: str, settings: Settings | None = None, models: Models | None = None, explicit: dict | None = None, layout=None):
-        self.spark, self.folder = spark, os.path.abspath(folder)
+        self.spark, self.folder = spark, files.absolute(folder)
         self.settings, self.models, self.explicit = settings or Settings.load(), models or Models(), explicit or {}
         self.layout = layout or self.settings.layout()
         self.meeting = os.path.basename(self.folder)
@@ -64,7 +62,7 @@ class Run:
         return A.artifact_path(self.folder, name, self.explicit.get(name))
 
     def read(self, name: str, optional: bool = False) -> DataFrame:
-        if optional and not os.path.exists(self.path(name)):
+        if optional and not files.exists(self.path(name)):
             log.warning("%s is missing, going on without it", self.path(name))
         rows = A.read_artifact(self.spark, name, self.path(name), optional)
         return A.checked(rows, name).withColumn("meeting_id", F.lit(self.meeting))
@@ -72,7 +70,7 @@ class Run:
     def stage(self, name: str, skip_if_exists: bool = False, **options) -> str:
         """Run a stage and return the path of what it wrote; an existing result is kept if asked, whatever its age."""
         out = A.artifact_path(self.folder, STAGES[name])
-        if skip_if_exists and os.path.exists(out):
+        if skip_if_exists and files.exists(out):
             log.info("%s exists, skipped", out)
             return out
         A.write_artifact(getattr(self, name.replace("-", "_"))(**options), STAGES[name], out)
@@ -83,24 +81,17 @@ class Run:
 
     def scene_detect(self, video_path: str, sample_fps: float | None = None, diff_threshold: float | None = None, **_) -> DataFrame:
         load, fps = self.models.need("frame_reader"), sample_fps or self.settings.scene_sample_fps
-
-        def sampled(reader, r):
-            native = reader.fps(r.video_path) or 25.0
-            every = max(1, round(native / fps))
-            for i, frame in reader.frames(r.video_path, every):
-                yield (r.meeting_id, i, i / native, grey_thumbnail(np.asarray(frame)).ravel().astype(np.int16).tolist())
-
+        threshold, folder = diff_threshold or self.settings.scene_diff_threshold, f"{self.folder}/frames"
         videos = self.spark.createDataFrame([(self.meeting, video_path)], "meeting_id string, video_path string")
-        frames = seams.through(videos, "meeting_id string, idx bigint, seconds double, pixels array<int>", load, sampled)
-        kept = keyframes(frames, "meeting_id", "idx", "pixels", *THUMBNAIL, diff_threshold or self.settings.scene_diff_threshold)
-        numbered = kept.withColumn("number", F.row_number().over(_by_time("idx"))).withColumn("height", F.lit(THUMBNAIL[0])).withColumn("width", F.lit(THUMBNAIL[1]))
-        written = media.write_kept_frames(numbered, os.path.join(self.folder, "frames"))
-        return numbered.join(written, ["meeting_id", "number"]).select((F.col("number") - 1).alias("pos"), F.round(F.col("seconds") + 1e-9, 3).alias("timestamp"), "frame_path")
+        keep = lambda reader, r: [(r.meeting_id, n, t, p) for n, t, p in media.kept_frames(reader, r.video_path, fps, threshold, f"{folder}/{r.meeting_id}")]
+        # Frames are written while the video is read, so what was kept is materialised before anything reads it again.
+        kept = cut(seams.through(videos, "meeting_id string, number bigint, seconds double, frame_path string", load, keep))
+        return kept.select((F.col("number") - 1).alias("pos"), round3(F.col("seconds")).alias("timestamp"), "frame_path")
 
     def ocr(self, **_) -> DataFrame:
         scenes = self.read("scenes").withColumn("start_ms", F.round(F.col("timestamp") * 1000).cast("bigint"))
         pages = seams.read_pages(scenes, self.models.need("page_reader"))
-        pages = pages.withColumn("page", ocr.page_lines(F.col("rec_texts"), F.col("rec_scores"), F.col("rec_boxes"), F.col("rec_polys"))).cache()
+        pages = cut(pages.withColumn("page", ocr.page_lines(F.col("rec_texts"), F.col("rec_scores"), F.col("rec_boxes"), F.col("rec_polys"))))
         enabled = F.lit(self.settings.ocr_gpt4o_fallback and self.models.vision_model is not None)
         crops = self._crop_names(pages)
         # Detectors run in steps, each on the frames that the ones before left over, since a model's call is never free.
@@ -114,12 +105,15 @@ class Run:
         return s.select("pos", "slide_id", (F.col("start_ms") / 1000).alias("start_time"), (F.col("end_ms") / 1000).alias("end_time"), "frame_path", "content", "display_name", "display_name_source", "ocr_confidence", "detection_confidence")
 
     def _crop_names(self, pages: DataFrame) -> DataFrame:
-        """Names in the border tile's label and in the badge, by reading those crops."""
+        """Names in the border tile's label and in the badge, by reading those crops.
+
+        A crop whose lines are missing or read with low confidence is read again by the vision model, if there is one
+        and it may be asked; if that fails its lines stay. The confidence is that of the first reading.
+        """
         load, decode, layout = self.models.need("page_reader"), self.models.decode_image, self.layout
 
         def crops(reader, r):
-            with open(r.frame_path, "rb") as f:
-                frame = decode(f.read())
+            frame = decode(files.read_bytes(r.frame_path))
             found = []
             if frame is not None:
                 boxes = []
@@ -130,17 +124,23 @@ class Run:
                 for kind, box in boxes:
                     part = crop(frame, box)
                     if part.size:
-                        path = f"{r.frame_path.rsplit('.', 1)[0]}_{kind}.ppm"
-                        with open(path, "wb") as f:
-                            f.write(media.encode_image(upscale_for_reading(part)))
+                        path = files.write_bytes(f"{r.frame_path.rsplit('.', 1)[0]}_{kind}.png", png.encode(upscale_for_reading(part)))
                         p = reader(path)
-                        found.append((r.meeting_id, r.pos, kind, p.get("rec_texts", []), p.get("rec_scores", [])))
+                        found.append((r.meeting_id, r.pos, kind, path, p.get("rec_texts", []), p.get("rec_scores", [])))
             return found
 
-        read = seams.through(pages.select("meeting_id", "pos", "frame_path"), "meeting_id string, pos bigint, kind string, texts array<string>, scores array<double>", load, crops)
+        read = seams.through(pages.select("meeting_id", "pos", "frame_path"), "meeting_id string, pos bigint, kind string, frame_path string, texts array<string>, scores array<double>", load, crops)
         nothing = F.lit(None)
         page = ocr.page_lines(F.col("texts"), F.col("scores"), nothing.cast("array<array<double>>"), nothing.cast("array<array<array<double>>>"))
-        named = read.withColumn("page", page).select("meeting_id", "pos", "kind", ocr.crop_name(F.col("page")).alias("name"), ocr.mean_confidence(F.col("page")).alias("confidence")).where("name is not null")
+        read = cut(read.withColumn("page", page).withColumn("confidence", ocr.mean_confidence(page)))
+        enabled = F.lit(self.settings.ocr_gpt4o_fallback and self.models.vision_model is not None)
+        need = ocr.needs_fallback(F.col("page"), enabled)
+        if self.models.vision_model is not None:
+            again = seams.read_again(read.where(need).select("meeting_id", "pos", "kind", "frame_path"), self.models.vision_model, "kind")
+            read = read.join(again, ["meeting_id", "pos", "kind"], "left")
+        else:
+            read = read.withColumn("fallback", nothing.cast("array<string>"))
+        named = read.withColumn("page", ocr.after_fallback(F.col("page"), need, F.col("fallback"))).select("meeting_id", "pos", "kind", ocr.crop_name(F.col("page")).alias("name"), "confidence").where("name is not null")
         pick = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
         return named.groupBy("meeting_id", "pos").agg(pick("border", "name").alias("border_name"), pick("border", "confidence").alias("border_confidence"), pick("badge", "name").alias("badge_name"), pick("badge", "confidence").alias("badge_confidence"))
 
@@ -193,7 +193,7 @@ class Run:
 
     def fuse(self, **_) -> DataFrame:
         t = self.read("transcript").select("meeting_id", "pos", _ms("start_s").alias("start_ms"), _ms("end_s").alias("end_ms"), "speaker_id", "text", "language")
-        names = self.read("speaker_names") if os.path.exists(self.path("speaker_names")) else None
+        names = self.read("speaker_names") if files.exists(self.path("speaker_names")) else None
         d = fusion.timeline(t, self._slide_frames(), names)
         return d.withColumn("pos", F.row_number().over(_by_time("start_ms", "pos"))).select("pos", _s("start_ms").alias("start"), _s("end_ms").alias("end"), "speaker", "transcript", "language", "slide")
 

@@ -19,12 +19,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder and return it without its lineage.
 
-    The folder is the session's ``spark.checkpoint.dir``, which executors share. Only where that is unset (tests,
-    one machine) a folder of our own is used.
+    The folder is the session's ``spark.checkpoint.dir``, which executors share. Only on one machine (a local master)
+    a folder of our own is used where that is unset; on a cluster it is an error.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="talkweave-checkpoint-"))
     return df.checkpoint(eager=True)
 

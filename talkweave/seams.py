@@ -133,16 +133,18 @@ def read_pages(scenes: DataFrame, load: Callable[[], PageReader]) -> DataFrame:
     return through(scenes.select("meeting_id", "pos", "start_ms", "frame_path"), "meeting_id string, pos bigint, start_ms bigint, frame_path string, rec_texts array<string>, rec_scores array<double>, rec_boxes array<array<double>>, rec_polys array<array<array<double>>>", load, answer)
 
 
-def read_again(frames: DataFrame, load: Callable[[], VisionModel]) -> DataFrame:
-    """(meeting_id, pos, fallback) for frames that need it: a failed call gives null, so the frame keeps its lines."""
+def read_again(frames: DataFrame, load: Callable[[], VisionModel], *more: str) -> DataFrame:
+    """(meeting_id, pos, more keys, fallback) for images that need it: a failed call gives null, so they keep their lines."""
 
     def answer(model, r):
+        key = (r.meeting_id, r.pos, *[getattr(r, c) for c in more])
         try:
-            return [(r.meeting_id, r.pos, list(model.read_lines(r.frame_path)))]
+            return [(*key, list(model.read_lines(r.frame_path)))]
         except Exception:
-            return [(r.meeting_id, r.pos, None)]
+            return [(*key, None)]
 
-    return through(frames.select("meeting_id", "pos", "frame_path"), "meeting_id string, pos bigint, fallback array<string>", load, answer)
+    keys = ", ".join(["meeting_id string", "pos bigint", *[f"{c} string" for c in more]])
+    return through(frames.select("meeting_id", "pos", *more, "frame_path"), f"{keys}, fallback array<string>", load, answer)
 
 
 def look_for_names(frames: DataFrame, load: Callable[[], VisionModel]) -> DataFrame:

@@ -84,8 +84,6 @@ class Settings:
         return cls(**(found | {k: v for k, v in overrides.items() if v is not None}))
 
     def layout(self) -> Layout:
-        return Layout(
-            self.zoom_active_speaker_detection, self.zoom_presentation_badge_detection, self.zoom_border_hue_min, self.zoom_border_hue_max, self.zoom_border_sat_min, self.zoom_border_val_min,
-            border_close_kernel_size=self.zoom_border_close_kernel_size, name_label_height_fraction=self.zoom_name_label_height_fraction, name_label_width_fraction=self.zoom_name_label_width_fraction,
-            badge_top_fraction=self.zoom_badge_top_fraction, badge_right_fraction=self.zoom_badge_right_fraction, badge_name_height_fraction=self.zoom_badge_name_height_fraction,
-        )
+        """The layout that the settings describe: each setting whose name ends like a field of it, and two switches."""
+        named = {f.name: getattr(self, f"zoom_{f.name}") for f in fields(Layout) if hasattr(self, f"zoom_{f.name}")}
+        return Layout(self.zoom_active_speaker_detection, self.zoom_presentation_badge_detection, **named)

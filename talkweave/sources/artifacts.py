@@ -8,12 +8,12 @@ from __future__ import annotations
 
 import json
 import os
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkweave.schemas import ARTIFACTS, REQUIRED
+from talkweave.sources import files
 
 
 class InvalidArtifact(ValueError):
@@ -43,8 +43,7 @@ def read_artifact(spark: SparkSession, name: str, paths: str | list[str], option
     without a required field raises InvalidArtifact when the result is computed by ``checked``.
     """
     wanted = [paths] if isinstance(paths, str) else list(paths)
-    local = [p for p in wanted if "://" not in p and "*" not in p]
-    missing = [p for p in local if not os.path.exists(p)]
+    missing = [p for p in wanted if "*" not in p and not files.exists(p)]
     if missing and optional:
         wanted = [p for p in wanted if p not in missing]
         if not wanted:
@@ -106,9 +105,8 @@ def write_artifact(rows: DataFrame, name: str, path: str) -> None:
     """
     _, wrapper, schema = ARTIFACTS[name]
     fields = [c for c in rows.columns if c not in ("meeting_id", "pos")]
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
     ordered = rows.orderBy("pos") if "pos" in rows.columns else rows
-    with open(path, "w", encoding="utf-8") as f:
+    with files.writing(path) as f:
         if name == "speaker_names":
             mapping = {r["speaker_id"]: r["name"] for r in ordered.toLocalIterator()}
             json.dump({"mapping": mapping}, f, indent=2, ensure_ascii=False)
@@ -130,7 +128,7 @@ def write_table(rows: DataFrame, path: str, overwrite_meetings: bool = True) ->
     they are filtered out before the write. There is no check whether their inputs have changed since.
     """
     spark = rows.sparkSession
-    if not overwrite_meetings and os.path.isdir(path.removeprefix("file://")):
+    if not overwrite_meetings and files.exists(path):
         stored = spark.read.parquet(path).select("meeting_id").distinct()
         rows = rows.join(stored, "meeting_id", "left_anti")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("meeting_id").parquet(path)

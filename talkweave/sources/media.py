@@ -6,6 +6,7 @@ import io
 import json
 import shutil
 import subprocess
+import tempfile
 import wave
 
 import numpy as np
@@ -14,6 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from talkweave.functions import png
+from talkweave.functions.images import grey_thumbnail, shows_change
+from talkweave.sources import files
+
 
 class MediaError(RuntimeError):
     """A media file that is missing, unreadable or without audio, or a missing tool."""
@@ -66,7 +71,11 @@ def ingest(spark: SparkSession, videos: list[str], out_folder: str, rate: int =
             for v in b["video_path"]:
                 stem = v.rsplit("/", 1)[-1].rsplit(".", 1)[0]
                 duration = probe_video(v, run)["duration_sec"]
-                made.append((stem, v, extract_audio(v, f"{out_folder}/{stem}.wav", rate, channels, run), duration, rate, channels))
+                with tempfile.TemporaryDirectory() as own:  # the tool writes to a disk of its own, the result is shared
+                    wav = extract_audio(v, f"{own}/{stem}.wav", rate, channels, run)
+                    with open(wav, "rb") as f:
+                        shared = files.write_bytes(f"{out_folder}/{stem}.wav", f.read())
+                made.append((stem, v, shared, duration, rate, channels))
             yield pd.DataFrame(made, columns=["meeting_id", "video_path", "wav_path", "duration_sec", "sample_rate", "channels"])
 
     return rows.mapInPandas(work, "meeting_id string, video_path string, wav_path string, duration_sec double, sample_rate int, channels int")
@@ -107,7 +116,9 @@ def wav_samples(content: pd.Series) -> pd.DataFrame:
 
 
 def decode_image(data: bytes) -> np.ndarray | None:
-    """A binary PPM or PGM image as BGR rows; null if it is none. Other formats need a decoder at the seam."""
+    """A PNG, or binary PPM or PGM, image as BGR rows; null if it is none. Other formats need a decoder at the seam."""
+    if data.startswith(png.SIGNATURE):
+        return png.decode(data)
     try:
         kind, size, depth, rest = data.split(b"\n", 3)
         w, h = map(int, size.split())
@@ -119,26 +130,17 @@ def decode_image(data: bytes) -> np.ndarray | None:
         return None
 
 
-def encode_image(frame: np.ndarray) -> bytes:
-    """A BGR or grey image as binary PPM or PGM."""
-    h, w = frame.shape[:2]
-    return (b"P6" if frame.ndim == 3 else b"P5") + f"\n{w} {h}\n255\n".encode() + np.ascontiguousarray(frame[..., ::-1] if frame.ndim == 3 else frame).tobytes()
-
-
-def write_kept_frames(frames: DataFrame, folder: str) -> DataFrame:
-    """Write each kept frame (meeting_id, number, height, width, pixels) as an image; returns meeting_id, number, frame_path."""
-
-    def write(batches):
-        import os
-
-        for b in batches:
-            paths = []
-            for m, n, h, w, p in zip(b["meeting_id"], b["number"], b["height"], b["width"], b["pixels"]):
-                os.makedirs(f"{folder}/{m}", exist_ok=True)
-                path = f"{folder}/{m}/frame_{n:05d}.pgm"
-                with open(path, "wb") as f:
-                    f.write(encode_image(np.asarray(p, np.uint8).reshape(h, w)))
-                paths.append(path)
-            yield pd.DataFrame({"meeting_id": b["meeting_id"], "number": b["number"], "frame_path": paths})
-
-    return frames.mapInPandas(write, "meeting_id string, number int, frame_path string")
+def kept_frames(reader, video_path: str, sample_fps: float, threshold: float, folder: str, thumbnail: tuple[int, int] = (320, 180)):
+    """(number, seconds, path) of the frames of a video that show a new scene, each written whole as it is kept.
+
+    Frames are sampled at ``sample_fps`` and told apart by their grey thumbnails; the frame that is written is the one
+    that was decoded. A video is read once, by one decoder, and one thumbnail is held.
+    """
+    native = reader.fps(video_path) or 25.0
+    last, number = None, 0
+    for i, frame in reader.frames(video_path, max(1, round(native / sample_fps))):
+        frame = np.asarray(frame)
+        small = grey_thumbnail(frame, *thumbnail)
+        if last is None or shows_change(last, small, threshold):
+            last, number = small, number + 1
+            yield number, i / native, files.write_bytes(f"{folder}/frame_{number:05d}.png", png.encode(frame))

@@ -9,11 +9,18 @@ class _Reader:
 
     def frames(self, path, every):
         for i in range(0, 12, every):
-            yield i, np.full((36, 64), 0 if i < 6 else 200, np.uint8)
+            with open("/tmp/talkweave-frames-read.txt", "a") as f:
+                f.write(f"{i}\n")
+            frame = np.full((360, 640, 3), 0 if i < 6 else 200, np.uint8)
+            frame[40:240, 100:420] = (0, 255, 0)  # a tile with a green border
+            frame[44:236, 104:416] = 30
+            yield i, frame
 
 
 class _Vision:
     def read_lines(self, path):
+        if path.endswith("_badge.png"):
+            return ["12", "Bo Chen"]
         raise OSError("no network")
 
     def read_name(self, path):
@@ -29,8 +36,10 @@ class _Writer:
 
 def page_reader():
     def read(path):
-        if path.endswith(("_badge.ppm", "_border.ppm")):
-            return {"rec_texts": ["Ana Lima"], "rec_scores": [0.8]}
+        if path.endswith("_border.png"):
+            return {"rec_texts": ["Ana Lima"], "rec_scores": [0.8]} if "frame_00001" in path else {}
+        if path.endswith("_badge.png"):
+            return {"rec_texts": ["B0 Ch"], "rec_scores": [0.2]}
         return {"rec_texts": ["Quarter results", "- first point"], "rec_scores": [0.9, 0.95]}
 
     return read

@@ -3,6 +3,7 @@
 import io
 import json
 import os
+import pathlib
 import sys
 import wave
 
@@ -14,7 +15,8 @@ from talkweave import cli, seams
 from talkweave.functions import images as I
 from talkweave.plans.naming import visual_events
 from talkweave.settings import Layout, Settings
-from talkweave.sources import media
+from talkweave.functions import png
+from talkweave.sources import files, media
 from talkweave.streaming import events as S
 
 HERE = os.path.dirname(__file__)
@@ -92,17 +94,53 @@ def test_media(spark, tmp_path):
     with pytest.raises(media.MediaError):
         media.require_tool("no-such-tool-here")
     frame = np.arange(24, dtype=np.uint8).reshape(2, 4, 3)
-    assert (media.decode_image(media.encode_image(frame)) == frame).all() and media.decode_image(b"junk") is None
-
-
-def test_ingest(spark):
-    def fake_run(*_, **__):
+    ppm = b"P6\n4 2\n255\n" + frame[..., ::-1].tobytes()
+    assert (media.decode_image(ppm) == frame).all() and media.decode_image(b"junk") is None
+
+
+def by_hand(frame, kind):
+    """A PNG whose rows all have one filter, made the plain way."""
+    import struct
+    import zlib
+
+    h, w, c = frame.shape
+    rgb = frame[..., ::-1].astype(int)
+    rows = []
+    for y in range(h):
+        row = [kind]
+        for x in range(w):
+            for k in range(c):
+                a, b, d = rgb[y, x - 1, k] if x else 0, rgb[y - 1, x, k] if y else 0, rgb[y - 1, x - 1, k] if x and y else 0
+                paeth = min((a, b, d), key=lambda v: abs(v - (a + b - d)))
+                row.append(int(rgb[y, x, k] - [0, a, b, (a + b) // 2, paeth][kind]) % 256)
+        rows.append(bytes(row))
+    part = lambda name, data: struct.pack(">I", len(data)) + name + data + struct.pack(">I", zlib.crc32(name + data))
+    return png.SIGNATURE + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + part(b"tEXt", b"a\0b") + part(b"IDAT", zlib.compress(b"".join(rows))) + part(b"IEND", b"")
+
+
+def test_png():
+    rng = np.random.default_rng(1)
+    frame = rng.integers(0, 256, (7, 5, 3), dtype=np.uint8)
+    assert (png.decode(png.encode(frame)) == frame).all() and (png.decode(png.encode(frame[..., 0]))[..., 2] == frame[..., 0]).all()
+    for kind in range(5):
+        assert (media.decode_image(by_hand(frame, kind)) == frame).all(), kind
+    for broken in (b"", png.SIGNATURE, png.encode(frame)[:40], by_hand(frame, 1).replace(b"IDAT", b"IDAX")):
+        assert media.decode_image(broken) is None
+
+
+def test_ingest(spark, tmp_path):
+    def fake_run(command, **_):
         from types import SimpleNamespace
 
+        if command[-1].endswith(".wav"):
+            open(command[-1], "wb").write(b"RIFF")
+
         return SimpleNamespace(returncode=0, stderr="", stdout='{"streams": [{"codec_type": "audio"}], "format": {"duration": "3.0"}}')
 
-    r = media.ingest(spark, ["/v/one.mp4"], "/out", run=fake_run).first()
-    assert (r.meeting_id, r.wav_path, r.duration_sec, r.sample_rate) == ("one", "/out/one.wav", 3.0, 16000)
+    r = media.ingest(spark, ["/v/one.mp4"], str(tmp_path / "out"), run=fake_run).collect()[0]
+    assert (r.meeting_id, r.wav_path, r.duration_sec, r.sample_rate) == ("one", f"{tmp_path}/out/one.wav", 3.0, 16000) and os.path.getsize(r.wav_path) == 4
+    r = media.ingest(spark, ["/v/one.mp4"], f"file://{tmp_path}/out2", run=fake_run).collect()[0]
+    assert r.wav_path == f"file://{tmp_path}/out2/one.wav" and files.read_bytes(r.wav_path) == b"RIFF"
 
 
 def test_diarization_falls_back(spark):
@@ -178,18 +216,25 @@ def test_command_line_runs_a_whole_meeting(spark, tmp_path, monkeypatch):
     monkeypatch.syspath_prepend(HERE)
     for f in ("fake_models.py",):
         spark.sparkContext.addPyFile(os.path.join(HERE, f))
-    folder = tmp_path / "meet"
+    folder, seen = tmp_path / "meet", pathlib.Path("/tmp/talkweave-frames-read.txt")
     folder.mkdir()
+    seen.unlink(missing_ok=True)
     (folder / "ingestion.json").write_text(json.dumps({"video_path": "v.mp4", "wav_path": "v.wav", "duration_sec": 3.0, "sample_rate": 16000, "channels": 1}))
     common = ["--output_dir", str(folder), "--models", "fake_models"]
     assert cli.main(["pipeline", "--video_path", "v.mp4", "--skip_if_exists", *common], spark) == 0
     load = lambda name: json.load(open(folder / name))
     scenes = load("scenes.json")
-    assert [s["timestamp"] for s in scenes] == [0.0, 1.5] and all(os.path.exists(s["frame_path"]) for s in scenes)
+    assert [s["timestamp"] for s in scenes] == [0.0, 1.5]
+    # the frames stored are those decoded, in colour and size, and the video was read once
+    stored = [media.decode_image(open(s["frame_path"], "rb").read()) for s in scenes]
+    assert all(f.shape == (360, 640, 3) and I.highlighted_tile(f, Layout()) == (100, 40, 320, 200) for f in stored) and stored[1][0, 0].tolist() == [200] * 3
+    assert sorted(map(int, seen.read_text().split())) == [0, 2, 4, 6, 8, 10]
     frames = load("vision_track.json")["frames"]
     assert frames[0]["content"] == {"title": "Quarter results", "bullet_points": ["first point"], "paragraphs": [], "raw_text": "Quarter results\n- first point"}
-    assert frames[0]["display_name"] == "Ana Lima" and frames[0]["display_name_source"] == "presentation_badge" and frames[0]["end_time"] == 1.5 and frames[1]["end_time"] is None
-    assert [e["display_name"] for e in load("visual_speaker_events.json")["events"]] == ["Ana Lima"]
+    assert frames[0]["display_name"] == "Ana Lima" and frames[0]["display_name_source"] == "active_speaker_border" and frames[0]["end_time"] == 1.5 and frames[1]["end_time"] is None
+    # the border's crop of the second frame has no lines and cannot be read again; its badge is read again for low confidence
+    assert frames[1]["display_name"] == "Bo Chen" and frames[1]["display_name_source"] == "presentation_badge" and frames[1]["detection_confidence"] == 0.2
+    assert [e["display_name"] for e in load("visual_speaker_events.json")["events"]] == ["Ana Lima", "Bo Chen"]
     assert load("vad_segments.json")["segments"][1] == {"segment_id": "seg_000150-000250", "start_s": 1.5, "duration": 1.0}
     assert [t["speaker_id"] for t in load("speaker_turns.json")] == ["Speaker_00", "Speaker_01"]
     assert [s["text"] for s in load("transcript.json")["segments"]] == ["hello there", "hello there"]
