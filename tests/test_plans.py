@@ -12,7 +12,7 @@ from talkweave.operators.aggregate import majority_first, one_name_per_key, weig
 from talkweave.operators.blocks import running_count, with_neighbour
 from talkweave.operators.cluster import canonical_names, leaders
 from talkweave.operators.interval import _in_buckets, asof_backward, best_overlap, overlap_join
-from talkweave.operators.sequence import capped_runs, keyframes, next_start
+from talkweave.operators.sequence import capped_runs, keyframes, next_start, value_keyframes
 from talkweave.plans import fusion, naming, speech
 
 
@@ -151,6 +151,36 @@ def test_clusters():
     assert leaders(["Maria Alvarez", "Marla Alvarez", "Bo Chen"], 0.65) == {"Maria Alvarez": "Maria Alvarez", "Marla Alvarez": "Maria Alvarez", "Bo Chen": "Bo Chen"}
 
 
+@pytest.mark.parametrize("most", [3, 512])
+def test_clusters_equal_a_plain_walk_whatever_the_rounds(spark, most):
+    from difflib import SequenceMatcher
+
+    rng = random.Random(7)
+    base = ["ana lima", "bo chen", "carl otto", "dina fuchs", "eva king", "Ana Rios", "bob king", "İda Öz", ""]
+    rows = []
+    for i in range(140):
+        n = list(rng.choice(base))
+        for _ in range(rng.randrange(3)):
+            n.insert(rng.randrange(len(n) + 1), rng.choice("abcxyz "))
+        rows.append((rng.choice("ab"), "".join(n), rng.randrange(1, 50) / 8, i))
+    got = {(r.g, r.n): r.canonical for r in canonical_names(spark.createDataFrame(rows, "g string, n string, w double, p bigint"), "g", "n", "w", "p", 0.7, most).collect()}
+    for g in "ab":
+        totals = {}
+        for _, n, w, p in [r for r in rows if r[0] == g]:
+            a, b = totals.get(n, (0.0, p))
+            totals[n] = (a + w, min(b, p))
+        found = []
+        for n in sorted(totals, key=lambda n: (-totals[n][0], totals[n][1])):
+            scored = [(SequenceMatcher(None, n.casefold(), x.casefold()).ratio(), -k) for k, x in enumerate(found)]
+            best = max(scored, default=(-1, 0))
+            if best[0] >= 0.7:
+                assert got[g, n] == found[-best[1]], n
+            else:
+                found.append(n)
+                assert got[g, n] == n
+    assert len(got) == len({(r[0], r[1]) for r in rows})
+
+
 def test_the_name_with_most_confidence_in_total_leads(spark):
     e = spark.createDataFrame([("m", 0, 0, 1, "Marla Alvarez", 0.6), ("m", 1, 0, 1, "Maria Alvarez", 0.4), ("m", 2, 0, 1, "Maria Alvarez", 0.4), ("m", 3, 0, 1, None, 0.4)], EVENTS)
     assert {r.canonical for r in canonical_names(e, "meeting_id", "display_name", "confidence", "pos").collect()} == {"Maria Alvarez"}
@@ -263,6 +293,46 @@ def test_frames_end_with_the_next_and_keyframes(spark):
     assert rows(keyframes(k, "g", "i", "p", 6, 6, 0.06), "g", "i") == [("m", 0), ("m", 2), ("m", 3), ("m", 4), ("n", 0)]
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_capped_runs_over_blocks_equal_a_plain_walk(spark, seed):
+    rng = random.Random(seed)
+    data, t = [], 0
+    for i in range(260):
+        t += rng.choice([0, 1, 3, 8, 40, 300])
+        data.append(("m" if i % 3 else "n", t, i, rng.choice("AAAAAAAB"), t, t + rng.choice([0, 2, 9, 30])))
+    got = {r.i: (r.island, r.run) for r in capped_runs(spark.createDataFrame(data, "k string, t bigint, i bigint, sp string, s bigint, e bigint"), "k", "t", "i", "sp", "s", "e", 25, block_ms=26).collect()}
+    assert len(got) == len(data)
+    for k in "mn":
+        who, opened, run = None, 0, 0
+        for _, _, i, sp, s, e in sorted(x for x in data if x[0] == k):
+            if sp != who:
+                who, opened, run = sp, s, 0
+            elif e - opened > 25:
+                opened, run = s, run + 1
+            assert got[i][1] == run, i
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_keyframes_over_blocks_equal_a_plain_fold(spark, seed):
+    rng = random.Random(seed)
+    data, v = [], 0.0
+    for i in range(300):
+        v += rng.choice([0, 0, 0, 0.04, -0.03, 0.2]) if not 100 < i < 200 else 0
+        data.append((rng.choice("ab"), i * 10, i, v))
+    expected = []
+    for k in "ab":
+        last = None
+        for _, _, i, v in [x for x in data if x[0] == k]:
+            if last is None or abs(v - last) > 0.1:
+                expected.append(i)
+                last = v
+    df = spark.createDataFrame(data, "k string, t bigint, i bigint, v double")
+    assert sorted(r.i for r in value_keyframes(df, "k", "t", "i", "v", 0.1, block_ms=170).collect()) == sorted(expected)
+    assert value_keyframes(df.limit(0), "k", "t", "i", "v", 0.1).count() == 0
+    picture = df.select("k", "i", F.array_repeat((F.col("v") * 100).cast("int"), 36).alias("p"))
+    assert {(r.k, r.i) for r in keyframes(picture, "k", "i", "p", 6, 6, 0.03, block=16).collect()} == {(r.k, r.i) for r in keyframes(picture, "k", "i", "p", 6, 6, 0.03, block=10_000).collect()}
+
+
 def test_quotes(spark):
     t = spark.createDataFrame([("m", "We met, and talked."), ("m", None)], "meeting_id string, text string")
     q = spark.createDataFrame([("m", 1, "We met and"), ("m", 2, "we met"), ("m", 3, "et, and"), ("m", 4, ""), ("n", 5, "We met")], "meeting_id string, quote_id int, quote string")
