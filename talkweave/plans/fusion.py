@@ -9,6 +9,10 @@ from talkweave.functions import ocr
 from talkweave.functions.text import lines, prompt, slide_id
 from talkweave.operators.interval import asof_backward
 from talkweave.operators.sequence import next_start
+from talkweave.runtime import cut
+
+#: Words in the longest stretches by which quotes are looked up.
+GRAM = 3
 
 
 def timeline(transcript: DataFrame, frames: DataFrame, names: DataFrame | None = None) -> DataFrame:
@@ -53,14 +57,33 @@ def spaced_words(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
 
 
+def _grams(words: Column, least: Column) -> Column:
+    """Hashes of all stretches of ``least`` to GRAM words in a row, of each length."""
+    def of(n: int) -> Column:
+        starts = F.when((F.size(words) >= n) & (least <= n), F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(words, i, n), " ")))
+
+    return F.array_distinct(F.concat(*[of(n) for n in range(1, GRAM + 1)]))
+
+
 def unsupported_quotes(quotes: DataFrame, transcript: DataFrame) -> DataFrame:
     """Quotes (meeting_id, quote_id, quote) that no segment of their meeting holds word for word.
 
-    Punctuation between words does not matter, case does. A quote is looked up by its first word among the segments'
-    words, so that only segments that can hold it are compared. Quotes without words are unsupported.
+    Punctuation between words does not matter, case does. Segments are indexed by hashes of their stretches of words. Of
+    a quote's longest stretches the one that fewest segments of the meeting hold is looked up, and only the segments that
+    hold it are compared, by their text, which is fetched after the match. Quotes without words are unsupported.
+    Repeated segments and quotes are looked up once.
     """
-    q = quotes.select("meeting_id", "quote_id", "quote", spaced_words(F.col("quote")).alias("_q")).withColumn("_w", F.regexp_extract("_q", r"^ (\S+)", 1))
-    segments = transcript.where("text is not null").select("meeting_id", spaced_words(F.col("text")).alias("_t")).distinct()
-    indexed = segments.select("meeting_id", "_t", F.explode(F.array_distinct(F.split(F.trim("_t"), " "))).alias("_w"))
-    held = q.where("_w <> ''").join(indexed, ["meeting_id", "_w"]).where(F.col("_t").contains(F.col("_q"))).select("meeting_id", "quote_id").distinct()
-    return q.join(held, ["meeting_id", "quote_id"], "left_anti").select("meeting_id", "quote_id", "quote")
+    split = lambda c: F.split(F.trim(c), " ")
+    q = quotes.select("meeting_id", spaced_words(F.col("quote")).alias("_q")).where("trim(_q) <> ''").distinct()
+    segments = transcript.where("text is not null").select("meeting_id", spaced_words(F.col("text")).alias("_t")).where("trim(_t) <> ''").distinct().withColumn("_s", F.xxhash64("_t"))
+    held = segments.select("meeting_id", "_s", F.explode(ocr.bound(split(F.col("_t")), lambda w: _grams(w, F.lit(1)))).alias("_h"))
+    longest = ocr.bound(split(F.col("_q")), lambda w: _grams(w, F.least(F.size(w), F.lit(GRAM))))
+    asked = cut(q.select("meeting_id", F.xxhash64("_q").alias("_k"), F.explode(longest).alias("_h")))
+    wanted = cut(held.join(asked.select("meeting_id", "_h").distinct(), ["meeting_id", "_h"], "left_semi"))
+    many = wanted.groupBy("meeting_id", "_h").agg(F.count("*").alias("_n"))
+    rarest = asked.join(many, ["meeting_id", "_h"], "left").groupBy("meeting_id", "_k").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_h")).alias("_x")).where("_x._n > 0").select("meeting_id", "_k", F.col("_x._h").alias("_h"))
+    met = rarest.join(wanted, ["meeting_id", "_h"]).select("meeting_id", "_k", "_s")
+    texts = met.join(q.withColumn("_k", F.xxhash64("_q")), ["meeting_id", "_k"]).join(segments, ["meeting_id", "_s"])
+    found = texts.where(F.col("_t").contains(F.col("_q"))).select("meeting_id", "_q").distinct()
+    return quotes.select("meeting_id", "quote_id", "quote", spaced_words(F.col("quote")).alias("_q")).join(found, ["meeting_id", "_q"], "left_anti").select("meeting_id", "quote_id", "quote")
