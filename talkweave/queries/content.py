@@ -230,22 +230,7 @@ def audio_slice(spark, folder):
     return d.select("vec_id", F.size("s").cast("bigint").alias("n"), F.round(F.aggregate("s", F.lit(0.0), lambda acc, x: acc + x.cast("double")), 4).alias("total"))
 
 
-@query(
-    """with p as (select a.vec_id, list_transform(range(1, 65), lambda i: abs(a.embedding[i]::double - b.embedding[i]::double)) d from embeddings a join embeddings b on b.vec_id = a.vec_id - 1)
-select vec_id, round(list_sum(d) / 64, 6) whole, round(greatest(list_sum(d[1:21]) / 21, list_sum(d[22:42]) / 21, list_sum(d[43:64]) / 22), 6) regional from p"""
-)
-def frame_difference(spark, folder):
-    """Difference of each row to the one before, as a whole and of the part that differs most."""
-    e = table(spark, folder, "embeddings").select("vec_id", "embedding")
-    before = e.select((F.col("vec_id") + 1).alias("vec_id"), F.col("embedding").alias("other"))
-    delta = F.zip_with("embedding", "other", lambda a, b: F.abs(a.cast("double") - b.cast("double")))
-    mean = lambda c: F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x) / F.size(c)
-    d = e.join(before, "vec_id").select("vec_id", delta.alias("d"))
-    parts = [mean(F.slice("d", 1, 21)), mean(F.slice("d", 22, 21)), mean(F.slice("d", 43, 22))]
-    return d.select("vec_id", F.round(mean(F.col("d")), 6).alias("whole"), F.round(F.greatest(*parts), 6).alias("regional"))
-
-
 @query("select event_id, event_type, cast(json_extract(props, '$.k') as integer) k from events")
 def json_extract_props(spark, folder):
-    """Records in JSON read by their schema."""
+    """Records in JSON inside a column, read by their schema."""
     return table(spark, folder, "events").select("event_id", "event_type", F.from_json("props", "k int")["k"].alias("k"))

@@ -326,13 +326,6 @@ def frame_sampling_grid(spark, folder):
     return table(spark, folder, "recordings").select("meeting_id", sampling_grid(F.col("sample_rate") / 640.0, 2.0).alias("every")).distinct()
 
 
-@query(_WITH + "select distinct r.meeting_id, 'Speaker_00' speaker_id, 0::double start_s, coalesce(duration_sec, 0::double) end_s from recordings r where not exists (from turns t where t.meeting_id = r.meeting_id)")
-def diarization_fallback(spark, folder):
-    """A recording without turns gets one turn of one speaker."""
-    r = table(spark, folder, "recordings").select("meeting_id", F.lit("Speaker_00").alias("speaker_id"), F.lit(0.0).alias("start_s"), F.coalesce("duration_sec", F.lit(0.0)).alias("end_s")).distinct()
-    return r.join(T.turns(spark, folder).select("meeting_id"), "meeting_id", "left_anti")
-
-
 @query(
     _WITH
     + """, q as (select meeting_id, pos quote_id, lower(text) quote, ' ' || trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')) || ' ' qs from utterances where text is not null)

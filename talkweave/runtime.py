@@ -22,13 +22,19 @@ def cut(df: DataFrame) -> DataFrame:
     The folder is the session's ``spark.checkpoint.dir``, which executors share. Only on one machine (a local master)
     a folder of our own is used where that is unset; on a cluster it is an error.
     """
-    sc = df.sparkSession.sparkContext
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, set if it is not yet."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None and not sc.master.startswith("local[") and sc.master != "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="talkweave-checkpoint-"))
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
 
 
 def millis(col) -> "F.Column":

@@ -96,7 +96,8 @@ def diarize(recordings: DataFrame, load: Callable[[], Diarizer]) -> DataFrame:
             turns = model(r.wav_path)
         except Exception:
             turns = []
-        return [(r.meeting_id, i, float(s), float(e), x) for i, (s, e, x) in enumerate(turns)] or [(r.meeting_id, 0, 0.0, float(r.duration_sec or 0.0), "only")]
+        whole = float(r.duration_sec) if pd.notna(r.duration_sec) else 0.0
+        return [(r.meeting_id, i, float(s), float(e), x) for i, (s, e, x) in enumerate(turns)] or [(r.meeting_id, 0, 0.0, whole, "only")]
 
     def safe_load():
         try:
