@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkweave.operators.blocks import BLOCK_MS, FAN, exclusive_max
+from talkweave.runtime import cut
 
 _RUN = "array<struct<s:bigint,e:bigint,n:bigint>>"
 
@@ -51,7 +52,7 @@ def periods_and_gaps(rows: DataFrame, keys: list[str], start: str, end: str, rec
     for k in keys:
         valid = valid.where(F.col(k).isNotNull())
     valid = valid.where("_s is not null and _e is not null and _e >= _s").withColumn("_block", F.floor(F.col("_s") / block_ms))
-    leaves = (
+    leaves = cut(
         valid.groupBy(*keys, "_block")
         .agg(F.array_sort(F.collect_set(F.struct(F.col("_s").alias("s"), F.col("_e").alias("e"), F.col("_r").alias("r")))).alias("_all"))
         .select(*keys, "_block", leaf_runs(F.col("_all")).alias("runs"))
