@@ -81,7 +81,7 @@ def collapse_runs(events: DataFrame, entity: str, record: str, name: str, start:
     ignored. Returns entity, first_record, last_record, n_rows, duration_ms for each run, single events included.
     """
     e = events.select(F.col(entity).alias("k"), F.col(record).alias("r"), F.col(start).cast("bigint").alias("s"), F.coalesce(F.col(end).cast("bigint"), F.col(start).cast("bigint") + 1000).alias("e"), bare_names(F.col(name)).alias("nm"))
-    e = e.where("k is not null and r is not null and s is not null").distinct().withColumn("_block", F.floor(F.col("s") / block_ms))
+    e = cut(e.where("k is not null and r is not null and s is not null").distinct().withColumn("_block", F.floor(F.col("s") / block_ms)))
     # The event just before: inside the block by a window, for a block's first event from the blocks before.
     w = Window.partitionBy("k", "_block").orderBy("s", "r")
     last = F.max(F.struct("s", "r", "nm"))
@@ -98,7 +98,7 @@ def collapse_runs(events: DataFrame, entity: str, record: str, name: str, start:
     # earlier run of the stretch lie too far back to matter, so the latest end of the stretch may be taken.
     goes_on = F.col("like") & (F.col("s") <= F.col("reach") + gap_ms)
     e = e.withColumn("on", goes_on).withColumn("part", F.sum(F.when(F.col("on"), 0).otherwise(1)).over(so_far))
-    parts = e.where("nm <> ''").groupBy("k", "_block", "part").agg(F.count("*").alias("n"), F.min(F.struct("s", "r")).alias("first"), F.max(F.struct("s", "r")).alias("last"), F.max("e").alias("latest"))
+    parts = cut(e.where("nm <> ''").groupBy("k", "_block", "part").agg(F.count("*").alias("n"), F.min(F.struct("s", "r")).alias("first"), F.max(F.struct("s", "r")).alias("last"), F.max("e").alias("latest")))
     roots = double_pointers(_chain(parts, "part", "latest", fan))
     parts = parts.withColumn("id", F.struct("k", "_block", F.col("part").alias("f"))).join(roots, "id")
     runs = parts.groupBy("root").agg(F.sum("n").alias("n_rows"), F.min("first").alias("first"), F.max("last").alias("last"), F.max("latest").alias("latest"))
