@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from talkweave.llm.nearest import match_nearest
+from talkweave.llm.nearest import TOLERANCES, match_nearest
 from talkweave.llm.runs import collapse_runs
 from talkweave.runtime import millis, table
 
@@ -16,9 +16,10 @@ def p3_found(spark, folder):
     """Nearest turn and nearest scene of each event."""
     events = table(spark, folder, "visual_speaker_events").select("meeting_id", "pos", millis("start").alias("t"))
     out = None
+    block_ms = TOLERANCES * max(TURN_MS, SCENE_MS)  # one for both, so that the events are cut into blocks once
     for name, time, tolerance in (("speaker_turns", "start", TURN_MS), ("scenes", "timestamp", SCENE_MS)):
         right = table(spark, folder, name).select("meeting_id", "pos", millis(time).alias("t"))
-        found = match_nearest(events, right, "meeting_id", "t", "pos", "t", "pos", tolerance).select("meeting_id", F.col("left_id").alias("event_pos"), F.lit(name).alias("matched_table"), F.col("right_id").alias("matched_pos"))
+        found = match_nearest(events, right, "meeting_id", "t", "pos", "t", "pos", tolerance, block_ms).select("meeting_id", F.col("left_id").alias("event_pos"), F.lit(name).alias("matched_table"), F.col("right_id").alias("matched_pos"))
         out = found if out is None else out.unionByName(found)
     return out
 

@@ -12,11 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Width of an index block: wide against the tolerance, so few right rows are copied, and short enough to keep blocks small.
-BLOCK_MS = 120_000
+#: Width of an index block in tolerances: few right rows lie near its edges and are copied, few lie inside it and are compared.
+TOLERANCES = 32
 
 
-def match_nearest(left: DataFrame, right: DataFrame, entity: str, left_time: str, left_id: str, right_time: str, right_id: str, tolerance_ms: int, block_ms: int = BLOCK_MS) -> DataFrame:
+def match_nearest(left: DataFrame, right: DataFrame, entity: str, left_time: str, left_id: str, right_time: str, right_id: str, tolerance_ms: int, block_ms: int | None = None) -> DataFrame:
     """For each left row the nearest right row of the same entity at most ``tolerance_ms`` away, before or after.
 
     Times are whole milliseconds. Equally near: the earlier one, then the smaller right id. Rows with a null entity or
@@ -24,6 +24,7 @@ def match_nearest(left: DataFrame, right: DataFrame, entity: str, left_time: str
     Other columns are ignored, whatever their names. Returns entity, left id, right id and distance in milliseconds,
     one row for each (entity, left id, left time) matched.
     """
+    block_ms = max(1000, TOLERANCES * tolerance_ms) if block_ms is None else block_ms
     if tolerance_ms < 0 or block_ms <= 0:
         raise ValueError("tolerance_ms must not be negative and block_ms must be positive")
     lt = left.select(F.col(entity).alias("_k"), F.col(left_id).alias("_l"), F.col(left_time).cast("bigint").alias("_t")).where("_k is not null and _t is not null").distinct()
