@@ -5,6 +5,7 @@ A folder holds one meeting; its name is the meeting's id. Models come from an ob
 
 from __future__ import annotations
 
+import asyncio
 import logging
 import os
 from dataclasses import dataclass, field
@@ -206,6 +207,14 @@ class Run:
     def composite(self, names: list[str], **options) -> list[str]:
         return [self.stage(n, **options) for n in names]
 
+    async def stage_async(self, name: str, **options) -> str:
+        """``stage`` beside other work; Spark runs the jobs of several threads together."""
+        return await asyncio.to_thread(self.stage, name, **options)
+
+    async def composite_async(self, names: list[str], **options) -> list[str]:
+        """``composite`` beside other work, such as the speech track beside the vision track."""
+        return await asyncio.to_thread(self.composite, names, **options)
+
 
 #: Stages that run several others.
 COMPOSITES = {"vision": ["scene-detect", "ocr"], "speech": ["vad", "diarize", "asr", "merge"], "pipeline": list(STAGES)}

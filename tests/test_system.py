@@ -249,6 +249,23 @@ def test_command_line_runs_a_whole_meeting(spark, tmp_path, monkeypatch):
     assert cli.main(["llm", *common[:2]], spark) == 1
 
 
+def test_stages_run_beside_each_other(spark, tmp_path):
+    import asyncio
+
+    from talkweave.plans.pipeline import Models, Run
+
+    recording = {"video_path": "v.mp4", "wav_path": "v.wav", "duration_sec": 3.0, "sample_rate": 16000, "channels": 1}
+    (tmp_path / "ingestion.json").write_text(json.dumps(recording))
+    models = Models(voice_detector=lambda: (lambda wav: [(0, 16000)]), diarizer=lambda: (lambda wav: [(0.0, 1.0, "B")]))
+    run = Run(spark, str(tmp_path), models=models)
+
+    async def both():
+        return await asyncio.gather(run.stage_async("vad"), run.composite_async(["diarize"]))
+
+    vad, turns = asyncio.run(both())
+    assert json.load(open(vad))["segments"][0]["start_s"] == 0.0 and [t["speaker_id"] for t in json.load(open(turns[0]))] == ["Speaker_00"]
+
+
 def test_command_line_has_every_command_and_layout_overrides():
     p = cli.parser()
     names = next(a for a in p._actions if a.dest == "command").choices
