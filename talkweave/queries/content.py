@@ -216,10 +216,16 @@ def self_describing_ids(spark, folder):
 
 @query("select distinct meeting_id, pos, round(round(start_s + 1e-9, 3) + round(end_s - start_s + 1e-9, 3) + 1e-9, 3) end_s, cast(floor(start_s * 16000) as integer) first_sample, round(cast(floor(start_s * 16000) as integer) / 16000.0::double + 1e-9, 3) first_s from transcript where start_s is not null and end_s is not null")
 def derived_end(spark, folder):
-    """Ends from rounded start and duration; samples to seconds."""
+    """Ends from rounded start and duration; samples to seconds.
+
+    first_sample is INT as in the SQL while all samples fit into it. After 37 hours of a recording they do not, where
+    the SQL has no result; then the whole column is BIGINT.
+    """
     s, e = F.col("start_s"), F.col("end_s")
-    sample = F.floor(s * 16000).cast("int")
+    sample = F.floor(s * 16000)
     d = table(spark, folder, "transcript").where("start_s is not null and end_s is not null")
+    if d.where(~sample.between(-(2**31), 2**31 - 1)).isEmpty():
+        sample = sample.cast("int")
     return d.select("meeting_id", "pos", X.round3(X.round3(s) + X.round3(e - s)).alias("end_s"), sample.alias("first_sample"), X.round3(X.samples_to_seconds(sample)).alias("first_s")).distinct()
 
 
