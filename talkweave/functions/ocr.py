@@ -54,9 +54,15 @@ def plain_lines(texts: Column) -> Column:
 
 
 def mean_confidence(page: Column) -> Column:
-    """Mean confidence of a page's lines; null without lines."""
-    total = F.aggregate(page, F.lit(0.0), lambda acc, x: acc + x["confidence"])
-    return F.when(F.size(page) > 0, total / F.size(page))
+    """Mean confidence of a page's lines, whatever their order; null without lines, null confidences do not count.
+
+    Confidences are added as decimals: sums of doubles depend on the order, which tips means that are ties or at a limit.
+    Only those that decimals cannot hold (10^12 and more, infinite, not a number) are added as doubles.
+    """
+    known = F.filter(F.transform(page, lambda x: x["confidence"].cast("double")), lambda c: c.isNotNull())
+    exact = F.aggregate(known, F.lit(0).cast("decimal(37,18)"), lambda acc, c: (acc + c.try_cast("decimal(30,18)")).cast("decimal(37,18)"))
+    total = F.aggregate(known, F.lit(0.0), lambda acc, c: acc + c)
+    return F.when(F.size(known) > 0, F.coalesce((exact / F.size(known)).cast("double"), total / F.size(known)))
 
 
 def title_index(page: Column) -> Column:
@@ -85,9 +91,10 @@ def crop_name(page: Column) -> Column:
     return F.get(F.filter(F.transform(page, lambda x: strip(x["text"])), has_letter), F.lit(0))
 
 
-def needs_fallback(page: Column, enabled: Column) -> Column:
-    """Whether a page is to be read again: nothing found, or mean confidence too low."""
-    return enabled & ((F.size(page) == 0) | (F.coalesce(mean_confidence(page), F.lit(0.0)) < LOW_CONFIDENCE))
+def needs_fallback(page: Column, enabled: Column, mean: Column | None = None) -> Column:
+    """Whether a page is to be read again: nothing found, or mean confidence too low. ``mean`` stands for the page's own, if given."""
+    mean = mean_confidence(page) if mean is None else mean
+    return enabled & ((F.size(page) == 0) | (F.coalesce(mean, F.lit(0.0)) < LOW_CONFIDENCE))
 
 
 def after_fallback(page: Column, tried: Column, answer: Column) -> Column:
